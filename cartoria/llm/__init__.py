@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from cartoria.llm import formatting, survivor
+
+MODULES = [formatting, survivor]
