@@ -55,7 +55,7 @@ def observations(spark: SparkSession, directory: str) -> DataFrame:
     return rows.join(channels, "fonte_detalhe", "left").select(
         "pos", "fonte", "id_fonte", "fonte_detalhe", "telefone", "rating", "reviews", "endereco",
         F.coalesce("confianca", F.lit(0)).alias("confianca"),
-        F.coalesce(F.unix_micros("coletado_em"), F.lit(-(2**62))).alias("quando"),
+        F.coalesce(F.col("coletado_em").cast("timestamp_ntz"), F.expr("timestamp_ntz'0001-01-01'")).alias("quando"),
         usable_phone(F.col("telefone")).alias("tem_telefone"),
         F.coalesce(F.col("rating").between(1.0, 5.0), F.lit(False)).alias("tem_rating"),
         F.coalesce(F.col("reviews") >= 1, F.lit(False)).alias("tem_reviews"),
