@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from cartoria.llm import formatting, survivor
+from cartoria.llm import formatting, lookalikes, survivor
 
-MODULES = [formatting, survivor]
+MODULES = [formatting, survivor, lookalikes]
