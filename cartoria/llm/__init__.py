@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from cartoria.llm import formatting, lookalikes, survivor
+from cartoria.llm import formatting, lookalikes, survivor, tokens
 
-MODULES = [formatting, survivor, lookalikes]
+MODULES = [formatting, survivor, lookalikes, tokens]
