@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from cartoria.llm import formatting, lookalikes, survivor, tokens
+from cartoria.llm import formatting, lookalikes, packing, survivor, tokens
 
-MODULES = [formatting, survivor, lookalikes, tokens]
+MODULES = [formatting, survivor, lookalikes, tokens, packing]
