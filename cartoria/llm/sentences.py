@@ -55,6 +55,11 @@ def titles(words: str) -> Rule:
     return (JOIN, rf"(?<![\p{{L}}\p{{M}}])(?:{'|'.join(words.split())})\.", r"\s", "")
 
 
+def numbered(words: str) -> Rule:
+    """Abbreviations only before a number."""
+    return (JOIN, rf"(?<![\p{{L}}\p{{M}}])(?:{'|'.join(words.split())})\.", r"\s*\d", "")
+
+
 def open_ended(words: str) -> Rule:
     """Abbreviations that may end a sentence: they do before a capital."""
     return (JOIN, rf"(?<![\p{{L}}\p{{M}}])(?:{'|'.join(words.split())})\.", r"\s+[\p{Ll}\d(]", "")
@@ -63,22 +68,26 @@ def open_ended(words: str) -> Rule:
 # Common abbreviations of each language.
 LANGUAGES: dict[str, list[Rule]] = {
     "pt": [
-        titles(r"[Ss]r [Ss]ra [Ss]rta [Dd]r [Dd]ra [Dd]rs [Pp]rof [Pp]rofa [Pp]e [Ff]r [Ii]r [Dd] [Dd]a [Ee]ng [Aa]rq [Cc]el [Gg]al [Gg]en [Cc]ap [Mm]aj [Ss]t [Ss]to [Ss]ta [Ee]xmo [Ee]xma"),
-        titles(r"[Aa]v [Tt]v [Tt]rav [Ll]ad [Ee]str [Pp]ça [Aa]l [Rr]od [Cc]j [Jj]d [Bb]x [Pp]q [Vv]l [Ee]d [Aa]pto [Ll]t [Qq]d"),
-        titles(r"[Cc]f [Pp] [Pp]p [Pp]ág [Pp]ag [Ff]l [Ff]ls [Ff]ig [Aa]rt [Cc]ap [Vv]ol [Ss]éc [Nn] [Nn]o [Nn]úm [Tt]el [Cc]el [Ee]x [Aa]prox [Mm]in [Mm]áx [Oo]bs [Rr]ef [Vv] [Rr]"),
+        titles(r"[Ss]r [Ss]ra [Ss]rta [Dd]r [Dd]ra [Dd]rs [Pp]rof [Pp]rofa [Pp]e Fr Ir D Da Eng Arq Cel Gal Gen Cap Maj St Sto Sta Exmo Exma"),
+        titles(r"[Aa]v Tv Trav Lad Estr Pça Al Rod Cj Jd Bx Pq Vl Ed Apto Lt Qd R"),
+        titles(r"[Cc]f [Pp] [Pp]p [Pp]ág [Ff]ls [Ss]éc [Tt]el [Aa]prox [Oo]bs [Rr]ef"),
+        numbered(r"[Pp]ag [Ff]l [Ff]ig [Aa]rt [Cc]ap [Vv]ol [Nn] [Nn]o [Nn]úm [Cc]el [Mm]in [Mm]áx [Vv]"),
         titles(r"C Csa Cs Cand Ctr Umb Soc B Benef Td Terr Unz Ab I A T"),
-        open_ended(r"etc a\.C d\.C Ltda Cia S\.A"),
+        open_ended(r"etc [Ee]x a\.C d\.C Ltda Cia S\.A"),
     ],
     "es": [
-        titles(r"[Ss]r [Ss]ra [Ss]rta [Dd]r [Dd]ra [Pp]rof [Dd] D\.ª Dña [Uu]d [Uu]ds [Vv]d [Vv]ds [Aa]vda [Aa]v [Cc]/ [Pp]za [Nn]úm [Nn]\.º [Pp]ág [Cc]ap [Ff]ig [Tt]el [Ee]j p\.\s?ej [Ss]to [Ss]ta [Gg]ral"),
+        titles(r"[Ss]r [Ss]ra [Ss]rta [Dd]r [Dd]ra [Pp]rof D D\.ª Dña [Uu]d [Uu]ds [Vv]d [Vv]ds [Aa]vda [Aa]v [Pp]za [Pp]ág [Tt]el p\.\s?ej Sto Sta Gral"),
+        numbered(r"[Nn]úm [Nn]\.º [Cc]ap [Ff]ig [Vv]ol"),
         open_ended(r"etc a\.C d\.C EE\.UU"),
     ],
     "en": [
-        titles(r"[Mm]r [Mm]rs [Mm]s [Dd]r [Pp]rof [Rr]ev [Hh]on [Ss]t [Ss]r [Jj]r [Cc]apt [Cc]ol [Gg]en [Ll]t [Ss]gt [Ff]ig [Ff]igs [Nn]o [Nn]os [Vv]ol [Pp] [Pp]p [Cc]h [Ss]ec [Ee]q [Vv]s [Cc]f [Aa]pprox [Ee]\.g [Ii]\.e viz"),
+        titles(r"[Mm]r [Mm]rs [Mm]s [Dd]r [Pp]rof Rev Hon St Sr Jr Capt Col Gen Lt Sgt [Vv]s [Cc]f [Aa]pprox [Ee]\.g [Ii]\.e"),
+        numbered(r"[Ff]ig [Ff]igs [Nn]o [Nn]os [Vv]ol [Pp] [Pp]p [Cc]h [Ss]ec [Ee]q"),
         open_ended(r"etc [Aa]\.m [Pp]\.m U\.S U\.K Inc Ltd Co al Ave Blvd"),
     ],
     "fr": [
-        titles(r"M MM Mme Mmes Mlle Dr Pr Me Mgr St Ste [Aa]v [Bb]d [Cc]f [Pp] [Pp]p [Cc]h [Ff]ig [Nn] [Vv]ol [Tt]él [Ee]x env"),
+        titles(r"M MM Mme Mmes Mlle Dr Pr Mgr Ste [Bb]d [Tt]él env"),
+        numbered(r"[Cc]h [Ff]ig [Nn] [Vv]ol"),
         open_ended(r"etc apr\.\s?J\.-C av\.\s?J\.-C"),
     ],
     "yo": [titles(r"Dkt Ọgb Alh Ọ̀jọ̀g Olóy"), open_ended(r"abbl bbl")],
