@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from cartoria.llm import formatting, lookalikes, packing, sentences, survivor, tokens
+from cartoria.llm import addresses, formatting, lookalikes, packing, sentences, survivor, tokens
 
-MODULES = [formatting, survivor, lookalikes, tokens, packing, sentences]
+MODULES = [formatting, survivor, lookalikes, tokens, packing, sentences, addresses]
