@@ -1,0 +1,70 @@
+"""Words of a corpus as the measure of their own errors: rare spellings are read as the common word one error away."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from cartoria.functions.lineage import cut
+
+#: A word is taken for an error of another that is at least so many times as frequent.
+RATIO = 8
+
+
+def one_error_apart(a: Column, b: Column) -> Column:
+    """Whether two words differ by one edit or one swap of neighbours."""
+    distance = F.levenshtein(a, b, 2)
+    swap = (distance == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
+    return (distance == 1) | swap
+
+
+def with_deletions(df: DataFrame, word: str) -> DataFrame:
+    """``df`` once for the word itself and once for each way to leave out a letter, in ``part``."""
+    w = F.col(word)
+    cuts = F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    return df.withColumn("part", F.explode(F.array_distinct(F.concat(F.array(w), cuts))))
+
+
+def corrections(words: DataFrame, ratio: int = RATIO) -> DataFrame:
+    """``word, right`` for the words that are errors; ``words`` has ``word, n`` (how often), each word once.
+
+    Words meet through equal remainders after leaving out a letter, so only words that are close are ever
+    compared. Of several common words one error away the most frequent is taken, unless the next is more than half as frequent.
+    Words under four letters stay as they are.
+    """
+    long = words.filter(F.length("word") >= 4)
+    rare = with_deletions(long, "word")
+    common = with_deletions(long.filter(F.col("n") >= ratio).select(F.col("word").alias("right"), F.col("n").alias("m")), "right")
+    pairs = rare.join(common, "part").filter((F.col("m") >= ratio * F.col("n")) & one_error_apart(F.col("word"), F.col("right"))).select("word", "right", "m").distinct()
+    best = pairs.groupBy("word").agg(F.max(F.struct("m", "right")).alias("b"), F.count("*").alias("k"), F.sum("m").alias("t"))
+    return best.filter((F.col("k") == 1) | (F.col("t") - F.col("b.m") <= F.col("b.m") / 2)).select("word", F.col("b.right").alias("right"))
+
+
+def corrected_names(names: DataFrame, ratio: int = RATIO) -> DataFrame:
+    """``words, fixed``: each distinct name with its errors read as common words; ``names`` has ``words, n``.
+
+    Single words that are two common words run together are split; of three words two neighbours that make a
+    common word are joined. Words come out in order of writing.
+    """
+    names = cut(names.groupBy("words").agg(F.sum("n").alias("n")))
+    split = F.split("words", " ")
+    words = cut(names.select(F.explode(split).alias("word"), "n").filter(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n")))
+    right = cut(corrections(words, ratio))
+    tokens = names.select("words", F.posexplode(split).alias("i", "word")).join(right, "word", "left").select("words", "i", F.coalesce("right", "word").alias("word"))
+    first = tokens.groupBy("words").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("l")).select("words", F.array_join(F.transform("l", lambda t: t["word"]), " ").alias("fixed"))
+    first = cut(first.join(names, "words"))
+    common = words.filter(F.col("n") >= ratio).select("word", F.col("n").alias("m"))
+    parts = F.split("fixed", " ")
+    three = first.filter(F.size(parts) == 3).select("words", "n", F.explode(F.array(
+        F.struct(F.concat(F.get(parts, F.lit(0)), F.get(parts, F.lit(1))).alias("joined"), F.get(parts, F.lit(2)).alias("rest"), F.lit(True).alias("front")),
+        F.struct(F.concat(F.get(parts, F.lit(1)), F.get(parts, F.lit(2))).alias("joined"), F.get(parts, F.lit(0)).alias("rest"), F.lit(False).alias("front")),
+    )).alias("c")).select("words", "n", "c.*")
+    joined = three.join(common.withColumnRenamed("word", "joined"), "joined").filter(F.col("m") >= ratio * F.col("n")).select(
+        "words", "m", F.when(F.col("front"), F.concat_ws(" ", "joined", "rest")).otherwise(F.concat_ws(" ", "rest", "joined")).alias("better")
+    )
+    run = first.filter((F.size(parts) == 1) & (F.length("fixed") >= 10)).select("words", "n", "fixed", F.explode(F.sequence(F.lit(4), F.length("fixed") - 4)).alias("at"))
+    halves = run.select("words", "n", F.substr("fixed", F.lit(1), F.col("at")).alias("l"), F.substr("fixed", F.col("at") + 1).alias("r"))
+    apart = halves.join(common.select(F.col("word").alias("l"), F.col("m").alias("ml")), "l").join(common.select(F.col("word").alias("r"), F.col("m").alias("mr")), "r").select(
+        "words", F.least("ml", "mr").alias("m"), F.concat_ws(" ", "l", "r").alias("better")
+    )
+    better = joined.unionByName(apart).groupBy("words").agg(F.max(F.struct("m", "better")).alias("b")).select("words", F.col("b.better").alias("better"))
+    return first.join(better, "words", "left").select("words", F.coalesce("better", "fixed").alias("fixed"))
