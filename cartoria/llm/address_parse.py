@@ -51,6 +51,7 @@ REMARK = re.compile(
 POSTCODE = re.compile(r"\b(?:cep[\s:.]*)?(\d{5})[\s.-]?(\d{3})\b")
 NO_NUMBER = re.compile(r"\b(?:s\s*/\s*n[o]?|s\s*\.?\s*n[o]?|sem numero)\b\.?(?=\s*(?:$|[,;()\-/]|cep))")
 NUMBER = re.compile(r"(?:(?<=[\s,;(#])|^)(?:(?:numero|num|no|n)[\s.:]*|#\s*)?(\d{1,5})(?:-?([a-z]))?(?=$|[\s,;()\-]|\.(?!\s*d[aeo]s?\b))")
+MARKS = re.compile("[\u0300-\u036f]")
 UNKNOWN = {"", "-", "?", "n/i", "a confirmar", "sem endereco", "nao informado", "nao consta"}
 
 
@@ -68,8 +69,10 @@ class Address(NamedTuple):
 
 def plain(text: str | None) -> str:
     """Lower case without accents, styled forms or doubled spaces."""
-    decomposed = unicodedata.normalize("NFKD", (text or "").replace("º", "o").replace("°", "o").replace("–", "-"))
-    return " ".join("".join(c for c in decomposed if not unicodedata.combining(c)).lower().split())
+    text = text or ""
+    if not text.isascii():
+        text = MARKS.sub("", unicodedata.normalize("NFKD", text.replace("º", "o").replace("°", "o").replace("–", "-")))
+    return " ".join(text.lower().split())
 
 
 @lru_cache(maxsize=200_000)

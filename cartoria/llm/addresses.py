@@ -117,7 +117,7 @@ def address_locations(parsed: DataFrame, id: str, window: int = WINDOW) -> DataF
 
 def places(spark: SparkSession, directory: str) -> DataFrame:
     rows = table(spark, directory, "terreiros_all_sources_v2").select("pos", "endereco", "bairro", "municipio", "cep")
-    return address_locations(parsed_addresses(rows, "pos", "endereco", "bairro", "municipio", "cep"), "pos")
+    return address_locations(cut(parsed_addresses(rows, "pos", "endereco", "bairro", "municipio", "cep")), "pos")
 
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
