@@ -40,10 +40,13 @@ def corrections(words: DataFrame, ratio: int = RATIO) -> DataFrame:
 
 
 def corrected_names(names: DataFrame, ratio: int = RATIO) -> DataFrame:
-    """``words, fixed``: each distinct name with its errors read as common words; ``names`` has ``words, n``.
+    """``words, fixed, common``: each distinct name with its errors read as common words; ``names`` has ``words, n``.
+
+    ``common`` tells that every word left is about as frequent as words are: at least a quarter of the mean frequency
+    that an occurrence of a word meets.
 
     Single words that are two common words run together are split; of three words two neighbours that make a
-    common word are joined. Words come out in order of writing.
+    common word are joined. Words come out sorted, as their order differs between spellings.
     """
     names = cut(names.groupBy("words").agg(F.sum("n").alias("n")))
     split = F.split("words", " ")
@@ -52,19 +55,23 @@ def corrected_names(names: DataFrame, ratio: int = RATIO) -> DataFrame:
     tokens = names.select("words", F.posexplode(split).alias("i", "word")).join(right, "word", "left").select("words", "i", F.coalesce("right", "word").alias("word"))
     first = tokens.groupBy("words").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("l")).select("words", F.array_join(F.transform("l", lambda t: t["word"]), " ").alias("fixed"))
     first = cut(first.join(names, "words"))
-    common = words.filter(F.col("n") >= ratio).select("word", F.col("n").alias("m"))
+    mean = words.agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n")).alias("m")).first()["m"] or 0.0
+    usual = words.filter(F.col("n") >= ratio).select("word", F.col("n").alias("m"))
     parts = F.split("fixed", " ")
     three = first.filter(F.size(parts) == 3).select("words", "n", F.explode(F.array(
         F.struct(F.concat(F.get(parts, F.lit(0)), F.get(parts, F.lit(1))).alias("joined"), F.get(parts, F.lit(2)).alias("rest"), F.lit(True).alias("front")),
         F.struct(F.concat(F.get(parts, F.lit(1)), F.get(parts, F.lit(2))).alias("joined"), F.get(parts, F.lit(0)).alias("rest"), F.lit(False).alias("front")),
     )).alias("c")).select("words", "n", "c.*")
-    joined = three.join(common.withColumnRenamed("word", "joined"), "joined").filter(F.col("m") >= ratio * F.col("n")).select(
+    joined = three.join(usual.withColumnRenamed("word", "joined"), "joined").filter(F.col("m") >= ratio * F.col("n")).select(
         "words", "m", F.when(F.col("front"), F.concat_ws(" ", "joined", "rest")).otherwise(F.concat_ws(" ", "rest", "joined")).alias("better")
     )
     run = first.filter((F.size(parts) == 1) & (F.length("fixed") >= 10)).select("words", "n", "fixed", F.explode(F.sequence(F.lit(4), F.length("fixed") - 4)).alias("at"))
     halves = run.select("words", "n", F.substr("fixed", F.lit(1), F.col("at")).alias("l"), F.substr("fixed", F.col("at") + 1).alias("r"))
-    apart = halves.join(common.select(F.col("word").alias("l"), F.col("m").alias("ml")), "l").join(common.select(F.col("word").alias("r"), F.col("m").alias("mr")), "r").select(
+    apart = halves.join(usual.select(F.col("word").alias("l"), F.col("m").alias("ml")), "l").join(usual.select(F.col("word").alias("r"), F.col("m").alias("mr")), "r").select(
         "words", F.least("ml", "mr").alias("m"), F.concat_ws(" ", "l", "r").alias("better")
     )
     better = joined.unionByName(apart).groupBy("words").agg(F.max(F.struct("m", "better")).alias("b")).select("words", F.col("b.better").alias("better"))
-    return first.join(better, "words", "left").select("words", F.coalesce("better", "fixed").alias("fixed"))
+    fixed = cut(first.join(better, "words", "left").select("words", F.array_join(F.array_sort(F.split(F.coalesce("better", "fixed"), " ")), " ").alias("fixed")))
+    known = words.select("word", (F.col("n") >= mean / 4).alias("known"))
+    common = fixed.select("fixed").distinct().select("fixed", F.explode(F.split("fixed", " ")).alias("word")).join(known, "word", "left").groupBy("fixed").agg(F.min(F.coalesce("known", F.lit(False))).alias("common"))
+    return fixed.join(common, "fixed").select("words", "fixed", "common")
