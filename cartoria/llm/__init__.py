@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from cartoria.llm import addresses, formatting, lookalikes, packing, sentences, survivor, tokens, variants
+from cartoria.llm import addresses, collective, formatting, lookalikes, packing, sentences, survivor, tokens, variants
 
-MODULES = [formatting, survivor, lookalikes, tokens, packing, sentences, addresses, variants]
+MODULES = [formatting, survivor, lookalikes, tokens, packing, sentences, addresses, variants, collective]
