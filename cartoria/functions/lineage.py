@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the checkpoint folder; later plans start from the written rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once to the checkpoint folder as a compressed table; later plans start from the written rows.
+
+    The table can be read again by any executor after the loss of others. ``clear`` removes the tables of a session.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all tables that ``cut`` wrote under this session's checkpoint folder. Nothing may read them any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    for status in files.globStatus(context._jvm.org.apache.hadoop.fs.Path(path, "cut-*")) or []:
+        files.delete(status.getPath(), True)
