@@ -27,7 +27,7 @@ def stable_id(name: Column, lat: Column, lng: Column, source: str = "google") ->
 
 
 def review_id_hash(spark: SparkSession, directory: str) -> DataFrame:
-    return queue(spark, directory).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("pos", "review_id", stable_id(F.col("nome"), F.col("latitude"), F.col("longitude")).alias("id")).select("pos", "id", (F.col("id") == F.col("review_id")).alias("igual"))
+    return queue(spark, directory).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("pos", stable_id(F.col("nome"), F.col("latitude"), F.col("longitude")).alias("id"))
 
 
 def review_urls(spark: SparkSession, directory: str) -> DataFrame:
@@ -169,7 +169,7 @@ same AS (SELECT m.p AS a, e.pos AS b, 2 AS r FROM e JOIN (SELECT n, min(pos) AS
 pr AS (SELECT a, b, min(r) AS r FROM (SELECT * FROM near UNION ALL SELECT * FROM same) GROUP BY a, b)"""
 
 SQL = {
-    "review_id_hash": f"SELECT pos, id, id = review_id AS igual FROM (SELECT *, substr(sha256('google|' || {K} || '|' || printf('%.6f', latitude) || '|' || printf('%.6f', longitude)), 1, 16) AS id FROM revisao_google) WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
+    "review_id_hash": f"SELECT pos, id FROM (SELECT *, substr(sha256('google|' || {K} || '|' || printf('%.6f', latitude) || '|' || printf('%.6f', longitude)), 1, 16) AS id FROM revisao_google) WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "review_urls": "SELECT pos, 'https://mapa.example/busca/?api=1&query=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS mapa, 'https://mapa.example/rua?api=1&map_action=pano&viewpoint=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS rua FROM revisao_google WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "review_queue": f"""
 WITH q AS (SELECT *, {K} AS k, round(latitude, 6) AS a, round(longitude, 6) AS b FROM revisao_google),
