@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cartoria.functions.lineage import cut
 from cartoria.llm.address_parse import district_key, town_key
 from cartoria.llm.name_parse import parse_name
-from cartoria.llm.survivor import phone_digits, usable_phone
 from cartoria.sources.tables import table
 
 
@@ -33,27 +33,32 @@ def source_key() -> Column:
     return F.when(given.isNotNull() & (given != "") & F.col("fonte").isNotNull(), F.xxhash64("fonte", given))
 
 
-def house_records(spark: SparkSession, directory: str) -> DataFrame:
-    """One row for each record with a name: ``pos, fonte, nome_hash, source, words, initials, town, district, phone, lat, lng``.
+def house_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """One row for each record with a name: ``pos, fonte, source, code``, the ``extra`` columns, ``words, initials, town, district``.
 
-    A town that isn't given is read from the postcode: the first five digits lead to the town that most
-    records with them name. Unknown text is ''.
+    ``code`` is the first half of the postcode, from its column or the address. Unknown text is ''.
     """
     rows = table(spark, directory, "terreiros_all_sources_v2").filter(F.col("nome").isNotNull())
     postcode = F.coalesce(F.nullif(F.regexp_replace("cep", "[^0-9]", ""), F.lit("")), F.nullif(F.regexp_replace(F.regexp_extract("endereco", r"(\d{5}-?\d{3})", 1), "-", ""), F.lit("")))
-    # everything passes Python once: what isn't a name travels as its own columns
-    names = parsed_names(
-        rows.select(
-            F.struct("pos", "fonte", F.xxhash64("nome").alias("nome_hash"), source_key().alias("source"), F.when(F.length(postcode) == 8, F.substring(postcode, 1, 5)).alias("code"),
-                     F.when(usable_phone(F.col("telefone")), phone_digits(F.col("telefone"))).alias("phone"), "lat", "lng").alias("r"),
-            "nome", "municipio", "bairro",
-        ), "r", "nome", "municipio", "bairro",
-    )
+    code = F.when(F.coalesce("municipio", F.lit("")) == "", postcode)  # read only where it has to tell the town
+    own = F.struct("pos", "fonte", source_key().alias("source"), F.when(F.length(code) == 8, F.substring(code, 1, 5)).alias("code"), *[c.alias(n) for n, c in (extra or {}).items()])
+    # everything passes Python once: what isn't a name travels beside it
+    names = parsed_names(rows.select(own.alias("r"), "nome", "municipio", "bairro"), "r", "nome", "municipio", "bairro")
     return names.select("r.*", "words", "initials", "town", "district")
 
 
-def with_towns(records: DataFrame) -> DataFrame:
+def town_codes(spark: SparkSession, directory: str) -> DataFrame:
+    """``code, code_town``: the town that most records with a postcode of this first half name."""
+    rows = table(spark, directory, "terreiros_all_sources_v2").filter(F.col("cep").isNotNull() & F.col("municipio").isNotNull())
+    digits = F.regexp_replace("cep", "[^0-9]", "")
+    counts = rows.select(F.substring(digits, 1, 5).alias("code"), F.length(digits).alias("l"), "municipio").filter(F.col("l") == 8).groupBy("code", "municipio").count()
+    top = counts.groupBy("code").agg(F.max(F.struct("count", "municipio")).alias("m")).select("code", F.col("m.municipio").alias("municipio"))
+    keyed = F.udf(lambda t: town_key(t) if t else "", "string")  # one row for each code
+    return cut(top.select("code", keyed("municipio").alias("code_town")))
+
+
+def with_towns(records: DataFrame, codes: DataFrame) -> DataFrame:
     """``records`` with the missing towns that their postcodes tell."""
-    counts = records.filter(F.col("code").isNotNull() & (F.col("town") != "")).groupBy("code", "town").count()
-    towns = counts.groupBy("code").agg(F.max(F.struct("count", "town")).alias("m")).select("code", F.col("m.town").alias("code_town"))
-    return records.join(towns, "code", "left").withColumn("town", F.when(F.col("town") == "", F.coalesce("code_town", F.lit(""))).otherwise(F.col("town"))).drop("code_town", "code")
+    known = records.filter((F.col("town") != "") | F.col("code").isNull()).drop("code")
+    told = records.filter((F.col("town") == "") & F.col("code").isNotNull()).join(codes, "code", "left").withColumn("town", F.coalesce("code_town", F.lit(""))).drop("code_town", "code")
+    return known.unionByName(told)

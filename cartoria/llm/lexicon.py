@@ -51,7 +51,7 @@ def corrected_names(names: DataFrame, ratio: int = RATIO) -> DataFrame:
     names = cut(names.groupBy("words").agg(F.sum("n").alias("n")))
     split = F.split("words", " ")
     words = cut(names.select(F.explode(split).alias("word"), "n").filter(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n")))
-    right = cut(corrections(words, ratio))
+    right = corrections(words, ratio)
     tokens = names.select("words", F.posexplode(split).alias("i", "word")).join(right, "word", "left").select("words", "i", F.coalesce("right", "word").alias("word"))
     first = tokens.groupBy("words").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("l")).select("words", F.array_join(F.transform("l", lambda t: t["word"]), " ").alias("fixed"))
     first = cut(first.join(names, "words"))

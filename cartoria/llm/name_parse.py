@@ -27,6 +27,7 @@ GIVEN_NAMES = {g for full, short in GIVEN.items() for g in [full, *short.split()
 LONG_GIVEN = sorted(g for g in GIVEN_NAMES if len(g) >= 6)
 VOWELS = "aeiou"
 SUSPECT_LETTER = re.compile(SUSPECT)
+TOKENS = re.compile(r"[a-z0-9]+").findall
 
 
 class House(NamedTuple):
@@ -38,7 +39,7 @@ class House(NamedTuple):
 
 def unscanned(word: str) -> str:
     """A word with the digits that stand for letters read as letters: 0 is o, 1 is l before a vowel and i elsewhere, 5 is s."""
-    if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
+    if word.isalpha() or word.isdigit():
         return word
     out = word.replace("0", "o").replace("5", "s").replace("3", "e").replace("4", "a")
     return "".join(("l" if out[i + 1 : i + 2] and out[i + 1] in VOWELS else "i") if c == "1" else c for i, c in enumerate(out))
@@ -80,7 +81,7 @@ def parse_name(name: str | None, town: str = "") -> House:
     for part in plain(text).replace("'", "").split(","):
         if len(words) > 1:
             break
-        tokens = [unscanned(w) for w in re.findall(r"[a-z0-9]+", part)]
+        tokens = [unscanned(w) for w in TOKENS(part)]
         led = False
         for i, w in enumerate(tokens):
             if len(w) == 1:
