@@ -95,7 +95,8 @@ def truth_discovery(claims: DataFrame, source: str = "source", rounds: int = 20,
     ``claims`` has one row for each claim: ``item`` (an object's field), ``value`` and ``source``; claims without an item
     or a value are left out, a null source votes as the source ''. Equal claims are counted first, so an item
     with very many rows shrinks before any shuffle. Each round
-    (1) weighs a value by the reliabilities of the claims for it, as a share of all votes on its item, and
+    (1) gives a value the sum of its sources' votes, a vote being the log-odds of the source's reliability, and a share of belief
+    in proportion to the exponential of that sum, and
     (2) sets a source's reliability to the mean share of its claims, smoothed by one claim of 0.5,
     until no reliability moves by more than ``tolerance`` or ``rounds`` are over. Ties go to the smaller value.
     Reliabilities stay a table; only the largest change is read by the driver.
@@ -105,9 +106,12 @@ def truth_discovery(claims: DataFrame, source: str = "source", rounds: int = 20,
     weights = cut(counted.select("s").distinct().withColumn("w", F.lit(0.8)))
 
     def shares(weights: DataFrame) -> DataFrame:
-        votes = counted.join(weights, "s").groupBy("item", "value").agg(F.sum(F.col("n") * F.col("w")).alias("support"), F.collect_list(F.struct("s", "n")).alias("by"))
-        totals = votes.groupBy("item").agg(F.sum("support").alias("total"))
-        return votes.join(totals, "item").withColumn("share", F.col("support") / F.col("total"))
+        sure = F.least(F.greatest(F.col("w"), F.lit(0.05)), F.lit(0.99))
+        votes = counted.join(weights, "s").groupBy("item", "value").agg(F.sum(F.log(sure / (1 - sure))).alias("support"), F.collect_list(F.struct("s", "n")).alias("by"))
+        most = votes.groupBy("item").agg(F.max("support").alias("most"))
+        belief = votes.join(most, "item").withColumn("belief", F.exp(F.col("support") - F.col("most")))
+        totals = belief.groupBy("item").agg(F.sum("belief").alias("total"))
+        return belief.join(totals, "item").withColumn("share", F.col("belief") / F.col("total"))
 
     for _ in range(rounds):
         sums = shares(weights).select(F.explode("by").alias("b"), "share").groupBy(F.col("b.s").alias("s")).agg(F.sum(F.col("b.n") * F.col("share")).alias("got"), F.sum("b.n").alias("of"))
