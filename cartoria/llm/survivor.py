@@ -107,25 +107,23 @@ def truth_discovery(claims: DataFrame, source: str = "source", rounds: int = 20,
 
     def shares(weights: DataFrame) -> DataFrame:
         sure = F.least(F.greatest(F.col("w"), F.lit(0.05)), F.lit(0.99))
-        votes = counted.join(weights, "s").groupBy("item", "value").agg(F.sum(F.log(sure / (1 - sure))).alias("support"), F.collect_list(F.struct("s", "n")).alias("by"))
+        votes = counted.join(weights, "s").groupBy("item", "value").agg(F.sum(F.log(sure / (1 - sure))).alias("support"))
         most = votes.groupBy("item").agg(F.max("support").alias("most"))
         belief = votes.join(most, "item").withColumn("belief", F.exp(F.col("support") - F.col("most")))
         totals = belief.groupBy("item").agg(F.sum("belief").alias("total"))
         return belief.join(totals, "item").withColumn("share", F.col("belief") / F.col("total"))
 
     for _ in range(rounds):
-        sums = shares(weights).select(F.explode("by").alias("b"), "share").groupBy(F.col("b.s").alias("s")).agg(F.sum(F.col("b.n") * F.col("share")).alias("got"), F.sum("b.n").alias("of"))
+        told = counted.join(shares(weights).select("item", "value", "share"), ["item", "value"])
+        sums = told.groupBy("s").agg(F.sum(F.col("n") * F.col("share")).alias("got"), F.sum("n").alias("of"))
         following = cut(sums.select("s", ((F.col("got") + 0.5) / (F.col("of") + 1)).alias("w")))
         moved = following.join(weights.withColumnRenamed("w", "before"), "s").agg(F.max(F.abs(F.col("w") - F.col("before")))).first()[0]
         weights = following
         if moved is None or moved <= tolerance:
             break
-    return (
-        shares(weights)
-        .groupBy("item")
-        .agg(F.max(F.struct("support", "share")).alias("top"), F.collect_list(F.struct("support", "value")).alias("all"))
-        .select("item", F.array_min(F.transform(F.filter("all", lambda v: v["support"] == F.col("top.support")), lambda v: v["value"])).alias("value"), F.col("top.support").alias("support"), F.col("top.share").alias("confidence"))
-    )
+    final = cut(shares(weights).select("item", "value", "support", "share"))
+    top = final.groupBy("item").agg(F.max("support").alias("support"))
+    return final.join(top, ["item", "support"]).groupBy("item").agg(F.min("value").alias("value"), F.max("support").alias("support"), F.max("share").alias("confidence"))
 
 
 def p2_truth(spark: SparkSession, directory: str) -> DataFrame:
