@@ -33,12 +33,12 @@ def source_key() -> Column:
     return F.when(given.isNotNull() & (given != "") & F.col("fonte").isNotNull(), F.xxhash64("fonte", given))
 
 
-def house_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row for each record with a name: ``pos, fonte, source, code``, the ``extra`` columns, ``words, initials, town, district``.
+def house_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None, sources: list[str] | None = None) -> DataFrame:
+    """One row for each record with a name, of some ``sources`` or of all: ``pos, fonte, source, code``, the ``extra`` columns, ``words, initials, town, district``.
 
     ``code`` is the first half of the postcode, from its column or the address. Unknown text is ''.
     """
-    rows = table(spark, directory, "terreiros_all_sources_v2").filter(F.col("nome").isNotNull())
+    rows = table(spark, directory, "terreiros_all_sources_v2").filter(F.col("nome").isNotNull() & (F.col("fonte").isin(sources) if sources else F.lit(True)))
     postcode = F.coalesce(F.nullif(F.regexp_replace("cep", "[^0-9]", ""), F.lit("")), F.nullif(F.regexp_replace(F.regexp_extract("endereco", r"(\d{5}-?\d{3})", 1), "-", ""), F.lit("")))
     code = F.when(F.coalesce("municipio", F.lit("")) == "", postcode)  # read only where it has to tell the town
     own = F.struct("pos", "fonte", source_key().alias("source"), F.when(F.length(code) == 8, F.substring(code, 1, 5)).alias("code"), *[c.alias(n) for n, c in (extra or {}).items()])
