@@ -18,6 +18,8 @@ from cartoria.llm.lexicon import corrected_names, one_error_apart
 from cartoria.llm.linkage import components
 
 RECALL, SIMILARITY, HASHES = 0.99, 0.66, 48
+#: So many rare spellings of a bucket are compared in one block.
+BLOCK = 1_000
 
 
 def collision(similarity: float, rows: int, bands: int) -> float:
@@ -89,7 +91,7 @@ def bucket_pairs(bands: DataFrame) -> DataFrame:
     """``key, other``: in each bucket every spelling with the one before it in the order of letters.
 
     A bucket of n gives fewer than n pairs, whatever n is; each pair comes out once. Two spellings of common words are two
-    names and make no pair.
+    names and make no pair. No query uses this: it misses pairs that ``bucket_collisions`` finds.
     """
     order = W.partitionBy("band").orderBy(F.abs("slot"), "key")
     seen = bands.select("key", "slot", F.lag("key").over(order).alias("other"), F.lag("slot").over(order).alias("its"))
@@ -97,6 +99,22 @@ def bucket_pairs(bands: DataFrame) -> DataFrame:
     return pairs.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other")).distinct()
 
 
+def bucket_collisions(rare: DataFrame, every: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``key, other``: every pair of a bucket with at least one spelling of ``rare``; both tables have ``key, band``, ``rare`` is part of ``every``.
+
+    A bucket with more than ``block`` rare spellings is split into blocks of about that size; the others of the bucket meet each of
+    them. Each pair comes out once.
+    """
+    hot = cut(rare.groupBy("band").count().filter(F.col("count") > block).select("band", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
+    on, left, right = ["band"], rare.withColumnRenamed("key", "own"), every
+    if hot.limit(1).count():
+        on = ["band", "block"]
+        left = left.join(hot, "band", "left").select("own", "band", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("own"), F.col("blocks")).cast("int")).alias("block"))
+        right = right.join(hot, "band", "left").select("key", "band", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"))
+    met = right.join(left, on).filter(F.col("key") != F.col("own"))
+    return met.select(F.least("key", "own").alias("key"), F.greatest("key", "own").alias("other")).distinct()
+
+
 def word_similarity(a: Column, b: Column) -> Column:
     """1 minus the edits per letter of the longer word; a swap of neighbours counts as one edit."""
     distance = F.levenshtein(a, b)
@@ -220,7 +238,9 @@ def name_clusters(records: DataFrame, least: float = 0.86) -> DataFrame:
     """
     names, spellings = spelled(records)
     rows, bands = tuned_bands()
-    edges = cut(verified(bucket_pairs(band_rows(spellings, rows, bands)), spellings, least))
+    buckets = lambda some: band_rows(some, rows, bands).select("key", "band")
+    rare = cut(buckets(spellings.filter(~F.col("common"))))
+    edges = cut(verified(bucket_collisions(rare, rare.unionByName(buckets(spellings.filter("common")))), spellings, least))
     stars = star_clusters(edges).filter(F.col("key") != F.col("center"))
     tied = source_ties(records, names)
     roots = components(stars.unionByName(tied).distinct(), "key", "center").withColumnRenamed("node", "key")

@@ -201,3 +201,41 @@ def test_stars(spark):
     got = {r["key"]: r["center"] for r in variants.star_clusters(df).collect()}
     # 3 ranks below 2 alone, and 2 touches the better supported 1: so 3 is a center, and of its two centers 2 takes the more similar
     assert got == {1: 1, 2: 3, 3: 3, 4: 1, 5: 5, 6: 5}
+
+
+def crowded_town(n=18, seed=11):
+    """All pairs of some words as names of one town and a spelling of each with two errors in one word, so that it sorts elsewhere: ``(name, variant)``."""
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("bcdfghjklmnpqrstvwxz") + rng.choice("aeiou") for _ in range(5)) for _ in range(n)]
+    pairs = []
+    for i in range(n):
+        for j in range(i):
+            a, b = sorted((words[i], words[j]))
+            pairs.append((f"{a} {b}", " ".join(sorted((f"y{a[1:8]}y{a[9:]}", b)))))
+    return pairs
+
+
+def test_variants_in_a_crowded_town(spark):
+    town = crowded_town()
+    rows = [(f"n{i}-{k}", name) for i, (name, _) in enumerate(town) for k in range(8)] + [(f"v{i}", variant) for i, (_, variant) in enumerate(town)]
+    df = spark.createDataFrame(rows, "id string, words string").select("id", "words", F.lit("t").alias("town"), F.lit("").alias("district"), F.lit(None).cast("long").alias("source"), F.xxhash64(F.lit("t"), "words").alias("key"))
+    house = {r["words"]: r["house"] for r in df.select("words", "key").distinct().join(variants.name_clusters(df), "key").collect()}
+    assert sum(house[name] == house[variant] for name, variant in town) >= 0.99 * len(town)
+    assert len({house[name] for name, _ in town}) == len(town)
+
+
+def test_collisions_reach_the_recall_of_brute_force(spark):
+    town = crowded_town()
+    names = [(i, w, i >= len(town)) for i, w in enumerate([v for _, v in town] + [n for n, _ in town])]
+    spellings = spark.createDataFrame([(i, w, common, "t", 1) for i, w, common in names], "key long, words string, common boolean, town string, support long")
+    rows, bands = variants.tuned_bands()
+    every = variants.band_rows(spellings, rows, bands).select("key", "band")
+    rare = every.filter(F.col("key") < len(town))
+    found = {(r["key"], r["other"]) for r in variants.bucket_collisions(rare, every).collect()}
+    split = [(r["key"], r["other"]) for r in variants.bucket_collisions(rare, every, 2).collect()]
+    assert set(split) == found and len(split) == len(found)
+    assert all(a < len(town) for a, _ in found)
+    grams = {i: variants.padded_grams(w) for i, w, _ in names}
+    similar = {(i, j) for i in grams for j in grams if i < j and i < len(town) and len(grams[i] & grams[j]) >= 0.66 * len(grams[i] | grams[j])}
+    assert len(similar) >= 100 and len(similar & found) >= 0.99 * len(similar)
+    assert variants.bucket_collisions(rare.limit(0), every).count() == 0
