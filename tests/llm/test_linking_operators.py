@@ -239,3 +239,31 @@ def test_collisions_reach_the_recall_of_brute_force(spark):
     similar = {(i, j) for i in grams for j in grams if i < j and i < len(town) and len(grams[i] & grams[j]) >= 0.66 * len(grams[i] | grams[j])}
     assert len(similar) >= 100 and len(similar & found) >= 0.99 * len(similar)
     assert variants.bucket_collisions(rare.limit(0), every).count() == 0
+
+
+def test_sources_of_a_crowded_town(spark):
+    town = crowded_town(14)
+    rows = [("ceao", 100 * i + k, name) for i, (name, _) in enumerate(town) for k in range(8)] + [("google", 100 * i + 50, variant) for i, (_, variant) in enumerate(town)]
+    df = spark.createDataFrame([(p, f, None, None, None, None, w, "t", "") for f, p, w in rows], "pos long, fonte string, source long, phone string, lat double, lng double, words string, town string, district string").withColumn("key", F.xxhash64("town", "words"))
+    house = {r["pos"]: r["house"] for r in collective.matched_records(df, with_confidence=False).collect()}
+    assert all(house[100 * i] == house[100 * i + 50] for i in range(len(town)))
+    assert len(set(house.values())) == len(town)
+
+
+def test_candidates_are_all_pairs_that_share_and_could_be_one(spark):
+    random.seed(4)
+    common = [random.random() < 0.6 for _ in range(26)]
+    nodes = {k: (w := random.randint(0, 25), common[w], random.random() < 0.2) for k in range(60)}
+    held = {(v, "id" if v < 2 else "phone" if v < 5 else "word", k) for k in nodes for v in random.sample(range(9), 3)}
+    schema = "value long, kind string, key long, w long, common boolean, townless boolean"
+    df = spark.createDataFrame([(v, kind, k, *nodes[k]) for v, kind, k in sorted(held)], schema)
+    want: dict = {}
+    for v, kind, a in held:
+        for u, _, b in held:
+            (w, c, t), (x, d, s) = nodes[a], nodes[b]
+            if u == v and a < b and (kind == "id" or (t != s and (kind != "word" or not c) if w == x else not (c and d))):
+                want.setdefault((a, b), set()).add(v)
+    for block in (1_000, 3):
+        got = collective.candidate_edges(df, 60, block).collect()
+        assert len(got) == len(want) and {(r["key"], r["other"]) for r in got} == set(want)
+        assert all(r["same_id"] == any(v < 2 for v in want[r["key"], r["other"]]) and r["tied"] == any(v < 5 for v in want[r["key"], r["other"]]) for r in got)
