@@ -30,6 +30,40 @@ def match_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5)
     return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").otherwise("nome").alias("regra"))
 
 
+def name_heads(named: DataFrame) -> DataFrame:
+    """``n, h1, h2``: for each name its row of smallest pos and the one of smallest pos of another source, null where there is none.
+
+    ``named`` has ``n, pos, fonte``; rows of no known source count as one source.
+    """
+    row = F.struct("pos", "fonte")
+    first = named.groupBy("n").agg(F.min(row).alias("h1"))
+    other = named.join(first, "n").filter(~F.col("fonte").eqNullSafe(F.col("h1.fonte"))).groupBy("n").agg(F.min(row).alias("h2"))
+    return first.join(other, "n", "left")
+
+
+def same_name_links(named: DataFrame, heads: DataFrame) -> DataFrame:
+    """``p, q``: each row of a name that several sources carry with the smallest row of another source; fewer links than rows."""
+    head = F.when(F.col("fonte").eqNullSafe(F.col("h1.fonte")), F.col("h2.pos")).otherwise(F.col("h1.pos"))
+    return named.join(heads.filter(F.col("h2").isNotNull()), "n").select(F.col("pos").alias("p"), head.alias("q"))
+
+
+def linked_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5) -> DataFrame:
+    """``a, b, regra``: as ``match_pairs``, but with all that the rules tie and with rows of unknown source.
+
+    A row is linked to the smallest rows of other sources that carry its name, whatever the name's length, so the components are those of all pairs of
+    different sources, with a number of links in proportion to the rows. Rows of unknown source are one source.
+    """
+    rows = df.select("pos", F.nullif(F.col("fonte"), F.lit("")).alias("fonte"), normal_name(F.col("nome")).alias("n"), "lat", "lng")
+    near = near_pairs(rows, metres, max_abs_lat=max_abs_lat).select(F.col("id_a").alias("p"), F.col("id_b").alias("q"), F.lit(1).alias("r"))
+    named = cut(rows.filter(F.col("n") != "").select("n", "pos", "fonte"))
+    heads = cut(name_heads(named))
+    links = near.unionByName(same_name_links(named, heads).withColumn("r", F.lit(2)))
+    pairs = links.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.min("r").alias("r"))
+    source = rows.select("pos", "fonte")
+    crossing = pairs.join(source.select(F.col("pos").alias("a"), F.col("fonte").alias("fa")), "a").join(source.select(F.col("pos").alias("b"), F.col("fonte").alias("fb")), "b").filter(~F.col("fa").eqNullSafe(F.col("fb")))
+    return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").otherwise("nome").alias("regra"))
+
+
 def clusters(pairs: DataFrame, rounds: int = 50) -> DataFrame:
     """``pos, grupo``: connected components by smallest label, through checkpoints; rows without a pair are not in it."""
     both = cut(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())

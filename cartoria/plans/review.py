@@ -8,7 +8,7 @@ from cartoria.functions.text import folded, html_escaped, stripped
 from cartoria.functions.values import number, rounded, rounded_exact
 from cartoria.operators.audit import percentage
 from cartoria.operators.decisions import latest_decisions, overlaid_queue, queue_filter, valid_imports
-from cartoria.operators.entities import clusters, match_pairs, merged_entities
+from cartoria.operators.entities import clusters, linked_pairs, match_pairs, merged_entities
 from cartoria.operators.keyed import last_wins
 from cartoria.sources.tables import table
 
@@ -129,30 +129,35 @@ def html_escape(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def entity_rows(spark: SparkSession, directory: str) -> DataFrame:
-    rows = table(spark, directory, "terreiros_all_sources_v2")
-    return rows.filter(F.col("fonte").isin("ceao", "google", "osm", "sefaz"))
+    return table(spark, directory, "terreiros_all_sources_v2")
 
 
 def entity_match_pairs(spark: SparkSession, directory: str) -> DataFrame:
-    """Pairs of different sources within 50 m or of one name, with the rule that paired them."""
-    return match_pairs(entity_rows(spark, directory), max_abs_lat=85.0)
+    """Pairs of known, different sources within 50 m or of one name, with the rule that paired them: what the SQL lists. ``entity_links`` has all."""
+    rows = entity_rows(spark, directory).filter(F.col("fonte").isin("ceao", "google", "osm", "sefaz"))
+    return match_pairs(rows, max_abs_lat=85.0)
+
+
+def entity_links(spark: SparkSession, directory: str) -> DataFrame:
+    """Links between rows of different sources, unknown ones too, whose components are the entities."""
+    return linked_pairs(entity_rows(spark, directory), max_abs_lat=85.0)
 
 
 def entity_clusters(spark: SparkSession, directory: str) -> DataFrame:
-    return clusters(match_pairs(entity_rows(spark, directory), max_abs_lat=85.0))
+    return clusters(entity_links(spark, directory))
 
 
 def entity_survivor(spark: SparkSession, directory: str) -> DataFrame:
     """One record for each cluster or single record, its gaps filled from the others."""
     rows = entity_rows(spark, directory)
-    labels = clusters(match_pairs(rows, max_abs_lat=85.0))
+    labels = clusters(linked_pairs(rows, max_abs_lat=85.0))
     return merged_entities(rows, labels, ["nome", "endereco", "bairro", "municipio", "cep"])
 
 
 QUERIES = {
     "review_id_hash": review_id_hash, "review_urls": review_urls, "review_queue": review_queue, "review_rank": review_rank, "review_summary": review_summary,
     "decision_latest": decision_latest, "decision_overlay": decision_overlay, "decision_stats": decision_stats, "queue_filter": queue_filter_query, "import_validate": import_validate,
-    "html_escape": html_escape, "entity_match_pairs": entity_match_pairs, "entity_clusters": entity_clusters, "entity_survivor": entity_survivor,
+    "html_escape": html_escape, "entity_match_pairs": entity_match_pairs, "entity_links": entity_links, "entity_clusters": entity_clusters, "entity_survivor": entity_survivor,
 }
 
 from cartoria.plans.registry import strip_sql  # noqa: E402

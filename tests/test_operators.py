@@ -1,12 +1,14 @@
 """Operators on small tables: order, nulls, doubles, empty tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from cartoria.operators.audit import histogram, histogram_map, over_fixed
 from cartoria.operators.classify import RuleSet, is_place, refine_ambiguous, removal_reason, scan_buckets, with_nation
 from cartoria.operators.decisions import latest_decisions, overlaid_queue, queue_filter, upserted, valid_imports
-from cartoria.operators.entities import clusters, match_pairs, merged_entities
+from cartoria.operators.entities import clusters, linked_pairs, match_pairs, merged_entities
 from cartoria.operators.keyed import excluded, first_wins, last_wins, overlaid, ranked_first, split_by
 
 
@@ -113,3 +115,27 @@ def test_entities(spark):
     assert {r["pos"]: r["grupo"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1}
     merged = {r["grupo"]: (r["registros"], r["endereco"]) for r in merged_entities(df, labels, ["nome", "endereco"]).collect()}
     assert merged == {1: (3, "rua"), 4: (1, "z"), 5: (1, None)}
+
+
+def brute_groups(rows, tied):
+    """Groups of the rows ``(pos, fonte, name)`` of different sources whose names are ``tied``, by smallest pos."""
+    label = {r[0]: r[0] for r in rows}
+    for _ in rows:
+        for p, f, n in rows:
+            for q, g, m in rows:
+                if (f or None) != (g or None) and n and m and tied(n, m):
+                    label[p] = label[q] = min(label[p], label[q])
+    return {p: x for p, x in label.items() if sum(y == x for y in label.values()) > 1}
+
+
+def test_links_join_all_rows_of_a_name(spark):
+    schema = "pos long, fonte string, nome string, lat double, lng double"
+    at = lambda rows: spark.createDataFrame([(*r, None, None) for r in rows], schema)
+    rows = [(1, "google", "Ilê Axé Um"), (2, "google", "ILE AXE UM"), (3, "ceao", "Ile-Axe Um"), (4, "osm", "Oxum"), (5, None, "OXUM"), (6, "", "oxum"), (7, "osm", "Outra casa"), (8, "osm", "outra casa"), (9, None, None), (10, "ceao", "")]
+    links = linked_pairs(at(rows))
+    assert {r["pos"]: r["grupo"] for r in clusters(links).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4}
+    assert {r["regra"] for r in links.collect()} == {"nome"} and links.count() < len(rows)
+    rng = random.Random(5)
+    many = [(i, rng.choice(["ceao", "google", "osm", None, ""]), rng.choice(["b", "dd", "fff", "gggg", "hh jj"])) for i in range(14)]
+    assert {r["pos"]: r["grupo"] for r in clusters(linked_pairs(at(many))).collect()} == brute_groups(many, lambda n, m: n == m)
+    assert linked_pairs(at(rows).limit(0)).count() == 0
