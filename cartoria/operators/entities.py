@@ -47,21 +47,47 @@ def same_name_links(named: DataFrame, heads: DataFrame) -> DataFrame:
     return named.join(heads.filter(F.col("h2").isNotNull()), "n").select(F.col("pos").alias("p"), head.alias("q"))
 
 
+def contained_names(names: DataFrame, letters: int = 6) -> DataFrame:
+    """``s, l``: distinct names of at least ``letters`` characters and the other names that hold them as they are.
+
+    A name meets the names that hold its rarest run of so many letters, which every name that holds it must; then the whole name is looked for.
+    """
+    long = cut(names.select("n").distinct().filter(F.length("n") >= letters))
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n") - letters + 1), lambda i: F.xxhash64(F.substr("n", i, F.lit(letters)))))
+    grams = cut(long.select("n", F.explode(runs).alias("gram")))
+    counts = grams.groupBy("gram").count()
+    rarest = grams.join(counts, "gram").groupBy("n").agg(F.min(F.struct("count", "gram")).alias("g")).filter(F.col("g.count") > 1).select(F.col("n").alias("s"), F.col("g.gram").alias("gram"))
+    return grams.withColumnRenamed("n", "l").join(rarest, "gram").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
+
+
+def contained_links(named: DataFrame, heads: DataFrame) -> DataFrame:
+    """``p, q``: links between rows of different sources of which one's name holds the other's, enough for the components of all such pairs.
+
+    The heads of both names are linked. The rows of a name that several sources carry are linked by that already; those of a name of one
+    source are each linked to one row of another name.
+    """
+    side = lambda name, x: heads.select(F.col("n").alias(name), F.explode(F.array_compact(F.array("h1", "h2"))).alias(x), F.col("h2").isNull().alias(f"{x}_one"))
+    met = contained_names(named).join(side("s", "x"), "s").join(side("l", "y"), "l").filter(~F.col("x.fonte").eqNullSafe(F.col("y.fonte")))
+    met = cut(met.select("s", "l", F.col("x.pos").alias("p"), F.col("y.pos").alias("q"), "x_one", "y_one"))
+    one = met.filter("x_one").select(F.col("s").alias("n"), "q").unionByName(met.filter("y_one").select(F.col("l").alias("n"), F.col("p").alias("q"))).groupBy("n").agg(F.min("q").alias("q"))
+    return met.select("p", "q").unionByName(named.join(one, "n").select(F.col("pos").alias("p"), "q")).distinct()
+
+
 def linked_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5) -> DataFrame:
     """``a, b, regra``: as ``match_pairs``, but with all that the rules tie and with rows of unknown source.
 
     A row is linked to the smallest rows of other sources that carry its name, whatever the name's length, so the components are those of all pairs of
-    different sources, with a number of links in proportion to the rows. Rows of unknown source are one source.
+    different sources. Names of more than five characters are also linked to the names that hold them. Rows of unknown source are one source.
     """
     rows = df.select("pos", F.nullif(F.col("fonte"), F.lit("")).alias("fonte"), normal_name(F.col("nome")).alias("n"), "lat", "lng")
     near = near_pairs(rows, metres, max_abs_lat=max_abs_lat).select(F.col("id_a").alias("p"), F.col("id_b").alias("q"), F.lit(1).alias("r"))
     named = cut(rows.filter(F.col("n") != "").select("n", "pos", "fonte"))
     heads = cut(name_heads(named))
-    links = near.unionByName(same_name_links(named, heads).withColumn("r", F.lit(2)))
+    links = near.unionByName(same_name_links(named, heads).withColumn("r", F.lit(2))).unionByName(contained_links(named, heads).withColumn("r", F.lit(3)))
     pairs = links.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.min("r").alias("r"))
     source = rows.select("pos", "fonte")
     crossing = pairs.join(source.select(F.col("pos").alias("a"), F.col("fonte").alias("fa")), "a").join(source.select(F.col("pos").alias("b"), F.col("fonte").alias("fb")), "b").filter(~F.col("fa").eqNullSafe(F.col("fb")))
-    return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").otherwise("nome").alias("regra"))
+    return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").when(F.col("r") == 2, "nome").otherwise("inclusao").alias("regra"))
 
 
 def clusters(pairs: DataFrame, rounds: int = 50) -> DataFrame:

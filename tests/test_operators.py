@@ -139,3 +139,16 @@ def test_links_join_all_rows_of_a_name(spark):
     many = [(i, rng.choice(["ceao", "google", "osm", None, ""]), rng.choice(["b", "dd", "fff", "gggg", "hh jj"])) for i in range(14)]
     assert {r["pos"]: r["grupo"] for r in clusters(linked_pairs(at(many))).collect()} == brute_groups(many, lambda n, m: n == m)
     assert linked_pairs(at(rows).limit(0)).count() == 0
+
+
+def test_links_join_names_that_hold_others(spark):
+    schema = "pos long, fonte string, nome string, lat double, lng double"
+    at = lambda rows: spark.createDataFrame([(*r, None, None) for r in rows], schema)
+    rows = [(1, "google", "Ilê Axé X"), (2, "ceao", "ILE AXE X (Umbanda)"), (3, "osm", "Rosas"), (4, "ceao", "Casa Rosas"), (5, "osm", "Abcdef"), (6, "osm", "Abcdef g"), (7, None, "xabcdefx")]
+    links = linked_pairs(at(rows))
+    assert {(r["a"], r["b"], r["regra"]) for r in links.collect()} == {(1, 2, "inclusao"), (5, 7, "inclusao")}
+    rng = random.Random(9)
+    for _ in range(3):
+        many = [(i, rng.choice(["ceao", "google", None]), " ".join(rng.choice(["abc", "defg", "hijkl", "mno", "pqrs"]) for _ in range(rng.randint(1, 3)))) for i in range(26)]
+        tied = lambda n, m: n == m or (min(len(n), len(m)) > 5 and (n in m or m in n))
+        assert {r["pos"]: r["grupo"] for r in clusters(linked_pairs(at(many))).collect()} == brute_groups(many, tied)
