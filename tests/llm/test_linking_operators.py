@@ -256,7 +256,7 @@ def test_candidates_are_all_pairs_that_share_and_could_be_one(spark):
     nodes = {k: (w := random.randint(0, 25), common[w], random.random() < 0.2) for k in range(60)}
     held = {(v, "id" if v < 2 else "phone" if v < 5 else "word", k) for k in nodes for v in random.sample(range(9), 3)}
     schema = "value long, kind string, key long, w long, common boolean, townless boolean"
-    df = spark.createDataFrame([(v, kind, k, *nodes[k]) for v, kind, k in sorted(held)], schema)
+    df = spark.createDataFrame([(v, kind, k, *nodes[k]) for v, kind, k in sorted(held)], schema).withColumn("own", F.lit(True))
     want: dict = {}
     for v, kind, a in held:
         for u, _, b in held:
@@ -267,3 +267,13 @@ def test_candidates_are_all_pairs_that_share_and_could_be_one(spark):
         got = collective.candidate_edges(df, 60, block).collect()
         assert len(got) == len(want) and {(r["key"], r["other"]) for r in got} == set(want)
         assert all(r["same_id"] == any(v < 2 for v in want[r["key"], r["other"]]) and r["tied"] == any(v < 5 for v in want[r["key"], r["other"]]) for r in got)
+
+
+def test_places_propose_what_shares_no_word(spark):
+    rows = [("osm", 100 + i, w, None, None, None) for i in range(60) for w in ("kamumuva xunamoko",)]
+    rows += [
+        ("ceao", 1, "fozatevilo gbendexaru", -12.000049, -38.000049, None), ("google", 2, "fozatevylo gbendexyru", -12.000051, -38.000051, None),  # either side of a cell's corner
+        ("ceao", 3, "pirotusemo vabelujoci", None, None, 77), ("osm", 4, "pirotysemo vabelyjoci", None, None, 77), ("google", 5, "hidopexuna zumicavolo", None, None, 78), ("osm", 6, "hidopyxuna zumycavolo", None, None, 79),
+    ]
+    df = spark.createDataFrame([(p, f, None, None, lat, lng, address, w, "t", "") for f, p, w, lat, lng, address in rows], "pos long, fonte string, source long, phone string, lat double, lng double, address long, words string, town string, district string").withColumn("key", F.xxhash64("town", "words"))
+    assert groups(collective.matched_records(df).collect(), "house") == {frozenset({1, 2}), frozenset({3, 4}), frozenset({5}), frozenset({6})}
