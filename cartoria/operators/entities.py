@@ -54,10 +54,12 @@ def contained_names(names: DataFrame, letters: int = 6) -> DataFrame:
     """
     long = cut(names.select("n").distinct().filter(F.length("n") >= letters))
     runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n") - letters + 1), lambda i: F.xxhash64(F.substr("n", i, F.lit(letters)))))
-    grams = cut(long.select("n", F.explode(runs).alias("gram")))
-    counts = grams.groupBy("gram").count()
-    rarest = grams.join(counts, "gram").groupBy("n").agg(F.min(F.struct("count", "gram")).alias("g")).filter(F.col("g.count") > 1).select(F.col("n").alias("s"), F.col("g.gram").alias("gram"))
-    return grams.withColumnRenamed("n", "l").join(rarest, "gram").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
+    grams = long.select(F.xxhash64("n").alias("k"), F.explode(runs).alias("gram"))
+    rarest = grams.join(grams.groupBy("gram").count().filter(F.col("count") > 1), "gram", "left").groupBy("k").agg(F.min(F.struct(F.coalesce("count", F.lit(1)).alias("count"), "gram")).alias("g"))
+    sought = rarest.filter(F.col("g.count") > 1).select(F.col("k").alias("ks"), F.col("g.gram").alias("gram"))
+    met = grams.join(sought, "gram").filter(F.col("k") != F.col("ks"))
+    names_by = lambda k, n: long.select(F.xxhash64("n").alias(k), F.col("n").alias(n))
+    return met.join(names_by("k", "l"), "k").join(names_by("ks", "s"), "ks").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
 
 
 def contained_links(named: DataFrame, heads: DataFrame) -> DataFrame:
