@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,14 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    ``spark.checkpoint.dir`` is taken where the cluster sets it. Only where nothing is set, as in
-    local tests, a temporary folder of this machine is used.
+    ``spark.checkpoint.dir`` is taken where the cluster sets it. Where nothing is set, a local session, as in tests, gets a
+    temporary folder of its machine; on a cluster, whose executors couldn't read that, it is an error.
     """
     context = spark.sparkContext
     known = context._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    path = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.mkdtemp(prefix="cartoria-"), "checkpoints")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        path = os.path.join(tempfile.mkdtemp(prefix="cartoria-"), "checkpoints")
     context.setCheckpointDir(path)
     return path
 
@@ -42,3 +48,12 @@ def clear(spark: SparkSession) -> None:
     files = path.getFileSystem(context._jsc.hadoopConfiguration())
     for status in files.globStatus(context._jvm.org.apache.hadoop.fs.Path(path, "cut-*")) or []:
         files.delete(status.getPath(), True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block at whose end all tables of ``cut`` are removed: build and write a query's rows inside."""
+    try:
+        yield
+    finally:
+        clear(spark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartoria.functions.lineage import cut
+from cartoria.operators.components import components
 from cartoria.operators.spatial import near_pairs
 
 
@@ -92,19 +93,9 @@ def linked_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5)
     return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").when(F.col("r") == 2, "nome").otherwise("inclusao").alias("regra"))
 
 
-def clusters(pairs: DataFrame, rounds: int = 50) -> DataFrame:
-    """``pos, grupo``: connected components by smallest label, through checkpoints; rows without a pair are not in it."""
-    both = cut(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("pos"), F.least("a", "m").alias("grupo")))
-    for _ in range(rounds):
-        least = both.join(labels.select(F.col("pos").alias("b"), "grupo"), "b").groupBy("a").agg(F.min("grupo").alias("m"))
-        joined = labels.join(least.withColumnRenamed("a", "pos"), "pos").select("pos", F.col("grupo").alias("was"), F.least("grupo", "m").alias("grupo"))
-        further = labels.select(F.col("pos").alias("grupo"), F.col("grupo").alias("g"))
-        following = cut(joined.join(further, "grupo", "left").select("pos", "was", F.least("grupo", F.coalesce("g", "grupo")).alias("grupo")))
-        labels = following.select("pos", "grupo")
-        if following.filter(F.col("was") != F.col("grupo")).limit(1).count() == 0:
-            return labels
-    raise RuntimeError("clusters did not settle")
+def clusters(pairs: DataFrame) -> DataFrame:
+    """``pos, grupo``: connected components by smallest label; rows without a pair are not in it."""
+    return components(pairs, "a", "b").select(F.col("node").alias("pos"), F.col("root").alias("grupo"))
 
 
 def merged_entities(df: DataFrame, labels: DataFrame, fields: list[str]) -> DataFrame:
