@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from cartoria.functions.lineage import cut
 from cartoria.llm.address_parse import district_key, parse, town_key
-from cartoria.llm.linkage import close_words, components
+from cartoria.llm.linkage import close_words
+from cartoria.operators.components import components
 from cartoria.sources.tables import table
 
 WINDOW = 10

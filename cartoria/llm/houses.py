@@ -1,4 +1,4 @@
-"""Records of houses made comparable: the own words of the name, the town, and what else can tie records together."""
+"""Records of houses made comparable: the own words of the name, the town, and how common the words are."""
 
 from __future__ import annotations
 
@@ -9,32 +9,34 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartoria.functions.lineage import cut
 from cartoria.llm.address_parse import district_key, town_key
-from cartoria.llm.name_parse import parse_name
+from cartoria.llm.name_parse import GENERIC, LEADERS, parse_name
+from cartoria.operators.components import components
+from cartoria.operators.skew import small
 from cartoria.sources.tables import table
 
 
 def parsed_names(df: DataFrame, id: str, name: str, town: str, district: str) -> DataFrame:
-    """``id, words, initials, town, district``; null, empty and wholly generic names have '' for words."""
+    """``id, words, tail, town, district``: own words of the name in alphabetical order; null, empty and wholly generic names have '' for words."""
     kind = df.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             towns = [town_key(t) if t else "" for t in batch.column(2).to_pylist()]
             found = [parse_name(n, t) for n, t in zip(batch.column(1).to_pylist(), towns)]
-            columns = [[" ".join(h.words) for h in found], ["".join(h.initials) for h in found], towns, [district_key(d) if d else "" for d in batch.column(3).to_pylist()]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string()) for c in columns]], [id, "words", "initials", "town", "district"])
+            columns = [[" ".join(sorted(h.words)) for h in found], [" ".join(h.tail) for h in found], towns, [district_key(d) if d else "" for d in batch.column(3).to_pylist()]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string()) for c in columns]], [id, "words", "tail", "town", "district"])
 
-    return df.select(id, *[F.col(c).cast("string") for c in (name, town, district)]).mapInArrow(run, f"`{id}` {kind}, words string, initials string, town string, district string")
+    return df.select(id, *[F.col(c).cast("string") for c in (name, town, district)]).mapInArrow(run, f"`{id}` {kind}, words string, tail string, town string, district string")
 
 
 def source_key() -> Column:
-    """Hash of a row's source and the id that source gave it; null where there is no id."""
-    given = F.coalesce("ceao_id", "place_id", "osm_id", "sefaz_codigo")
-    return F.when(given.isNotNull() & (given != "") & F.col("fonte").isNotNull(), F.xxhash64("fonte", given))
+    """Hash of a row's source and the first id that isn't empty; null where there is no id or source."""
+    given = F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("ceao_id", "place_id", "osm_id", "sefaz_codigo")])
+    return F.when(given.isNotNull() & F.col("fonte").isNotNull(), F.xxhash64("fonte", given))
 
 
 def house_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None, sources: list[str] | None = None) -> DataFrame:
-    """One row for each record with a name, of some ``sources`` or of all: ``pos, fonte, source, code``, the ``extra`` columns, ``words, initials, town, district``.
+    """One row for each record with a name, of some ``sources`` or of all: ``pos, fonte, source, code``, the ``extra`` columns, ``words, tail, town, district``.
 
     ``code`` is the first half of the postcode, from its column or the address. Unknown text is ''.
     """
@@ -44,7 +46,7 @@ def house_records(spark: SparkSession, directory: str, extra: dict[str, Column]
     own = F.struct("pos", "fonte", source_key().alias("source"), F.when(F.length(code) == 8, F.substring(code, 1, 5)).alias("code"), *[c.alias(n) for n, c in (extra or {}).items()])
     # everything passes Python once: what isn't a name travels beside it
     names = parsed_names(rows.select(own.alias("r"), "nome", "municipio", "bairro"), "r", "nome", "municipio", "bairro")
-    return names.select("r.*", "words", "initials", "town", "district")
+    return names.select("r.*", "words", "tail", "town", "district")
 
 
 def town_codes(spark: SparkSession, directory: str) -> DataFrame:
@@ -58,7 +60,47 @@ def town_codes(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def with_towns(records: DataFrame, codes: DataFrame) -> DataFrame:
-    """``records`` with the missing towns that their postcodes tell."""
-    known = records.filter((F.col("town") != "") | F.col("code").isNull()).drop("code")
-    told = records.filter((F.col("town") == "") & F.col("code").isNotNull()).join(codes, "code", "left").withColumn("town", F.coalesce("code_town", F.lit(""))).drop("code_town", "code")
-    return known.unionByName(told)
+    """``records`` with the missing towns that their postcodes or the tails of their names tell; a tail that is no town joins the words.
+
+    A tail is a place if some record of the corpus has it for its town, or if it is the row's own town but for two letters.
+    """
+    plain = records.filter(((F.col("town") != "") | F.col("code").isNull()) & (F.col("tail") == "")).drop("code", "tail")
+    towns = records.filter(F.col("town") != "").select(F.col("town").alias("tail")).distinct().withColumn("place", F.lit(True))
+    other = records.filter(((F.col("town") == "") & F.col("code").isNotNull()) | (F.col("tail") != "")).join(codes, "code", "left").join(towns, "tail", "left")
+    told = F.coalesce(F.nullif("town", F.lit("")), "code_town", F.when(F.col("place"), F.col("tail")), F.lit(""))
+    placed = F.col("place").isNotNull() | (F.levenshtein("tail", "town", 2) >= 0)
+    more = F.array_join(F.array_sort(F.array_distinct(F.array_union(F.split("words", " "), F.array_except(F.split("tail", " "), F.array(*[F.lit(w) for w in sorted(GENERIC | LEADERS)]))))), " ")
+    resolved = other.withColumn("words", F.when((F.col("tail") == "") | placed, F.col("words")).otherwise(more)).withColumn("town", told)
+    return plain.unionByName(resolved.select(*plain.columns))
+
+
+def keyed_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None, sources: list[str] | None = None) -> DataFrame:
+    """House records with ``key``, the hash of their reading: the town and the own words. A record without own words is a reading of its own."""
+    rows = with_towns(cut(house_records(spark, directory, extra, sources)), town_codes(spark, directory))
+    return rows.withColumn("key", F.when(F.col("words") == "", F.xxhash64("pos")).otherwise(F.xxhash64("town", "words")))
+
+
+def readings(records: DataFrame) -> DataFrame:
+    """The distinct readings, written: ``key, town, words, support, district, common, initial``.
+
+    ``support`` counts the records, so copies and repeated deliveries only add to it. ``common`` tells that every word is about as frequent as
+    words are: at least a quarter of the mean frequency that an occurrence of a word meets. Two names of common words are two names;
+    whoever mistypes a word makes an uncommon one. ``initial`` tells that an initial stands for a word.
+    """
+    raw = cut(records.groupBy("key", "town", "words").agg(F.count("*").alias("support"), F.max("district").alias("district")))
+    each = raw.filter(F.col("words") != "").select("key", "support", F.explode(F.split("words", " ")).alias("word"))
+    words = cut(each.groupBy("word").agg(F.sum("support").alias("n")))
+    mean = words.agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n")).alias("m")).first()["m"] or 0.0
+    usual = words.filter((F.col("n") >= mean / 4) & (F.length("word") > 1)).select("word", F.lit(True).alias("usual"))
+    common = each.join(small(usual), "word", "left").groupBy("key").agg(F.min(F.coalesce("usual", F.lit(False))).alias("common"))
+    initial = F.col("words").rlike(r"(^| )[a-z0-9]( |$)")
+    return cut(raw.join(common, "key", "left").select("key", "town", "words", "support", "district", F.coalesce("common", F.lit(False)).alias("common"), initial.alias("initial")))
+
+
+def source_units(records: DataFrame, names: DataFrame) -> DataFrame:
+    """``names`` with ``unit``: readings that one source id carries, in several observations, are one unit."""
+    carried = records.filter(F.col("source").isNotNull() & (F.col("words") != "")).select("source", "key")
+    ends = carried.groupBy("source").agg(F.min("key").alias("center"), F.max("key").alias("last")).filter(F.col("center") != F.col("last"))
+    tied = carried.join(ends.select("source", "center"), "source").filter(F.col("key") != F.col("center")).select("key", "center").distinct()
+    units = components(tied, "key", "center").select(F.col("node").alias("key"), F.col("root").alias("unit"))
+    return names.join(units, "key", "left").withColumn("unit", F.coalesce("unit", "key"))

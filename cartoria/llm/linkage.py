@@ -1,33 +1,12 @@
-"""Shared parts of the linking operators: components of a pair graph and tolerant word comparison."""
+"""Shared parts of the linking operators: tolerant comparison of words and names."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
-from cartoria.functions.lineage import cut
 
-
-def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
-    """``node, root``: for every node of the graph the smallest node of its connected component.
-
-    Each round takes the smallest root among neighbours and then the root of that root, so long chains
-    halve. Nodes, edges and roots stay distributed; a round's result is written to the checkpoint folder and the driver only
-    learns whether anything changed. Raises if ``rounds`` are not enough rather than return a wrong answer.
-    """
-    pairs = edges.select(F.col(a).alias("node"), F.col(b).alias("other")).filter(F.col("node") != F.col("other"))
-    both = cut(pairs.unionByName(pairs.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct())
-    roots = cut(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("root")))
-    for _ in range(rounds):
-        seen = both.join(roots.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("m"))
-        lower = roots.join(seen, "node").select("node", F.col("root").alias("was"), F.least("root", "m").alias("root"))
-        jumped = lower.join(roots.select(F.col("node").alias("root"), F.col("root").alias("further")), "root", "left").select(
-            "node", "was", F.least("root", F.coalesce("further", "root")).alias("root")
-        )
-        following = cut(jumped)
-        roots = following.select("node", "root")
-        if following.filter(F.col("was") != F.col("root")).limit(1).count() == 0:
-            return roots
-    raise RuntimeError("components did not settle")
+#: Each word of a name must find one at least so similar.
+WEAKEST = 0.6
 
 
 def close_words(a: Column, b: Column) -> Column:
@@ -36,3 +15,53 @@ def close_words(a: Column, b: Column) -> Column:
     short = F.least(F.length(a), F.length(b))
     swapped = F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))
     return (a == b) | ((distance == 1) & (short >= 4)) | ((distance == 2) & (short >= 4) & ((short >= 7) | swapped))
+
+
+def word_similarity(a: Column, b: Column) -> Column:
+    """1 minus the edits per letter of the longer word; two letters that changed places count as one edit."""
+    distance = F.levenshtein(a, b)
+    edits = F.when(distance != 2, distance).when((F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))), 1).otherwise(2)
+    return 1 - edits / F.greatest(F.length(a), F.length(b), F.lit(1))
+
+
+def best_matches(x: Column, y: Column) -> Column:
+    """For each word of ``x`` the similarity of the closest word of ``y``."""
+    return F.transform(x, lambda a: F.array_max(F.transform(y, lambda b: word_similarity(a, b))))
+
+
+def least_mean(x: Column, y: Column, weakest: float) -> Column:
+    """The smaller of both directions' mean best similarities; 0 where a word has no match of at least ``weakest``."""
+    mean = lambda s: F.aggregate(s, F.lit(0.0), lambda t, v: t + v) / F.size(s)
+    there, back = best_matches(x, y), best_matches(y, x)
+    return F.when((F.array_min(there) >= weakest) & (F.array_min(back) >= weakest), F.least(mean(there), mean(back))).otherwise(F.lit(0.0))
+
+
+def joinings(words: Column) -> Column:
+    """Every way to run two words of a list together, in either order: lists of one word less."""
+    places = F.sequence(F.lit(0), F.size(words) - 1)
+    ways = F.flatten(F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j != i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    return F.transform(
+        ways, lambda w: F.concat(F.array(F.concat(F.get(words, w["i"]), F.get(words, w["j"]))), F.transform(F.filter(places, lambda k: (k != w["i"]) & (k != w["j"])), lambda k: F.get(words, k)))
+    )
+
+
+def two_by_two(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
+    """``monge_elkan`` of two names of two words each, paired one to one; in plain expressions, which Spark compiles. Equal words are a pair."""
+    x, y = F.split(a, " "), F.split(b, " ")
+    x1, x2, y1, y2 = F.get(x, F.lit(0)), F.get(x, F.lit(1)), F.get(y, F.lit(0)), F.get(y, F.lit(1))
+    paired = lambda s, t: F.when(F.least(s, t) >= weakest, (s + t) / 2).otherwise(F.lit(0.0))
+    rest = lambda u, v: paired(F.lit(1.0), word_similarity(u, v))
+    both = F.greatest(paired(word_similarity(x1, y1), word_similarity(x2, y2)), paired(word_similarity(x1, y2), word_similarity(x2, y1)))
+    return F.when(x1 == y1, rest(x2, y2)).when(x2 == y2, rest(x1, y1)).when(x1 == y2, rest(x2, y1)).when(x2 == y1, rest(x1, y2)).otherwise(both)
+
+
+def monge_elkan(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
+    """Symmetric Monge-Elkan similarity of two names of any number of words: the smaller of both directions' means.
+
+    Every word must find one that is at least ``weakest`` alike. Where one name has a word more, each way to run two of its words
+    together counts too.
+    """
+    x, y = F.split(a, " "), F.split(b, " ")
+    joined = lambda more, fewer: F.coalesce(F.array_max(F.transform(joinings(more), lambda w: least_mean(w, fewer, weakest))), F.lit(0.0))
+    n, m, plain = F.size(x), F.size(y), least_mean(x, y, weakest)
+    return F.when(n == m + 1, F.greatest(plain, joined(x, y))).when(m == n + 1, F.greatest(plain, joined(y, x))).otherwise(plain)

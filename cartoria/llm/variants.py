@@ -1,6 +1,6 @@
 """Problem 6: variant spellings of names typed by people.
 
-MinHash banding over padded q-grams of the own words, verified by Monge-Elkan similarity, clustered into stars.
+MinHash banding over padded q-grams of the own words, as they were typed, verified by Monge-Elkan similarity, clustered into stars.
 """
 
 from __future__ import annotations
@@ -10,16 +10,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartoria.functions.lineage import cut
-from cartoria.llm.houses import house_records, town_codes, with_towns
-from cartoria.llm.lexicon import corrected_names, one_error_apart
-from cartoria.llm.linkage import components
+from cartoria.llm.houses import keyed_records, readings, source_units
+from cartoria.llm.linkage import monge_elkan, two_by_two
+from cartoria.operators.skew import blocked_join
 
-RECALL, SIMILARITY, HASHES = 0.99, 0.66, 48
-#: So many rare spellings of a bucket are compared in one block.
+RECALL, SIMILARITY, HASHES, LEAST = 0.99, 0.62, 116, 0.82
+#: So many seekers that share a value are compared in one block.
 BLOCK = 1_000
+#: Kinds of shared values: a MinHash band of a town, a whole word and an end of another, the other words and an initial of a town.
+BAND, ENDS, INITIAL = 0, 1, 2
+#: Bits of the sieve: a fixed 4 MB, whatever the data.
+SIEVE_BITS = 1 << 25
 
 
 def collision(similarity: float, rows: int, bands: int) -> float:
@@ -42,134 +47,141 @@ def gram_hashes(gram: str, hashes: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**32, hashes, dtype=np.uint32)
 
 
-def padded_grams(words: str, q: int = 2) -> set[str]:
-    """The q-grams of each word with a mark before its first and after its last letter."""
-    return {padded[i : i + q] for w in words.split() for padded in [f"^{w}$"] for i in range(len(padded) - q + 1)}
+def padded_grams(words: str, q: int = 3) -> set[str]:
+    """The q-grams of each word with q - 1 marks before its first and after its last letter."""
+    return {padded[i : i + q] for w in words.split() for padded in ["^" * (q - 1) + w + "$" * (q - 1)] for i in range(len(padded) - q + 1)}
 
 
-def letters_as_number(text: str, n: int = 6) -> int:
-    """The first letters of a text as a number that orders as they do; 0 stands for anything but a letter."""
-    value = 0
-    for c in text[:n].ljust(n):
-        value = value * 27 + (ord(c) - 96 if "a" <= c <= "z" else 0)
-    return value
+def band_values(words: list[str], towns: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """(names, bands): hashes of the bands of each name's MinHash signature in its town."""
+    mix = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (bands, rows), dtype=np.uint64) | np.uint64(1)
+    grams = [sorted(padded_grams(w)) for w in words]
+    starts = np.concatenate(([0], np.cumsum([len(g) for g in grams])[:-1])).astype(np.int64)
+    place = {g: i for i, g in enumerate({g for gs in grams for g in gs})}
+    values = np.stack([gram_hashes(g, rows * bands) for g in place])[[place[g] for gs in grams for g in gs]]
+    signature = np.minimum.reduceat(values, starts, axis=0).astype(np.uint64).reshape(len(grams), bands, rows)
+    with np.errstate(over="ignore"):
+        folded = (signature * mix).sum(axis=2, dtype=np.uint64)
+        folded ^= folded >> np.uint64(29)
+        return (folded * np.uint64(0x9E3779B97F4A7C15) + np.arange(bands, dtype=np.uint64) + towns.view(np.uint64)[:, None]).view(np.int64)
 
 
-def band_rows(spellings: DataFrame, rows: int, bands: int) -> DataFrame:
-    """``key, slot, band``: the bands of each spelling's MinHash signature, within its ``town``.
+def end_values(words: str) -> list[str]:
+    """What two names that differ by one error share: a whole word and an end of another one, or half of an only word; and all letters."""
+    ws = words.split()
+    letters = "*" + "".join(sorted(words.replace(" ", "")))
+    if len(ws) == 1:
+        half = max(len(words) // 2 - 1, 1)
+        return [letters, "<" + words[:half], ">" + words[-half:]]
+    return [letters, *[f"{a} {end}" for i, a in enumerate(ws) for j, b in enumerate(ws) if i != j for end in ("<" + b[:2], ">" + b[-2:])]]
 
-    ``slot`` orders a bucket: by the first letters in even bands, by the last ones in odd bands. It is negative for a spelling of
-    common words.
+
+def initial_values(words: str, offered: bool) -> list[str]:
+    """The other words and an initial: of the words that are initials, or, ``offered``, of each word of a name without initials."""
+    ws = words.split()
+    return [" ".join([*ws[:i], *ws[i + 1 :]]) + "=" + w[0] for i, w in enumerate(ws) if len(ws) > 1 and (offered or len(w) == 1)]
+
+
+def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True) -> DataFrame:  # noqa: ANN001 - a broadcast of bytes
+    """``key, kind, value``: what readings can share.
+
+    Sought are bands by uncommon readings, ends by readings without a town, initials by readings that have some. Offered are bands by all
+    and the others by readings that have a town and no initial. A ``sieve`` leaves out values that nobody seeks.
+    Without ``banded`` there are no bands.
     """
+    rows, bands = tuned_bands()
+    hashed = lambda texts, seed: [xxhash.xxh64_intdigest(t, seed) for t in texts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mix = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, (bands, rows), dtype=np.uint64) | np.uint64(1)
-        odd = np.arange(bands) % 2 == 1
+        kept = None if sieve is None else np.frombuffer(sieve.value, dtype=np.uint8)
         for whole in batches:
             for at in range(0, whole.num_rows, 4_000):
                 batch = whole.slice(at, 4_000)
+                key, town = batch.column(0).to_numpy(), batch.column(2).to_numpy()
                 words = batch.column(1).to_pylist()
-                grams = [sorted(padded_grams(w)) for w in words]
-                starts = np.concatenate(([0], np.cumsum([len(g) for g in grams])[:-1])).astype(np.int64)
-                place = {g: i for i, g in enumerate({g for gs in grams for g in gs})}
-                values = np.stack([gram_hashes(g, rows * bands) for g in place])[[place[g] for gs in grams for g in gs]]
-                signature = np.minimum.reduceat(values, starts, axis=0).astype(np.uint64).reshape(len(grams), bands, rows)
-                with np.errstate(over="ignore"):
-                    folded = (signature * mix).sum(axis=2, dtype=np.uint64)
-                    folded ^= folded >> np.uint64(29)
-                    folded = folded * np.uint64(0x9E3779B97F4A7C15) + np.arange(bands, dtype=np.uint64) + batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[:, None]
-                ends = np.array([(letters_as_number(w), letters_as_number(w[::-1])) for w in words], dtype=np.int32) + 1
-                sign = np.where(batch.column(2).to_numpy(zero_copy_only=False), -1, 1).astype(np.int32)
-                slots = np.where(odd, ends[:, 1:], ends[:, :1]) * sign[:, None]
-                index = pa.array(np.repeat(np.arange(batch.num_rows), bands))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(index), pa.array(slots.reshape(-1)), pa.array(folded.reshape(-1).view(np.int64))], ["key", "slot", "band"])
-
-    return spellings.filter(F.col("words") != "").select("key", "words", "common", F.xxhash64("town").alias("t")).mapInArrow(run, "key bigint, slot int, band bigint")
-
-
-def bucket_pairs(bands: DataFrame) -> DataFrame:
-    """``key, other``: in each bucket every spelling with the one before it in the order of letters.
-
-    A bucket of n gives fewer than n pairs, whatever n is; each pair comes out once. Two spellings of common words are two
-    names and make no pair. No query uses this: it misses pairs that ``bucket_collisions`` finds.
-    """
-    order = W.partitionBy("band").orderBy(F.abs("slot"), "key")
-    seen = bands.select("key", "slot", F.lag("key").over(order).alias("other"), F.lag("slot").over(order).alias("its"))
-    pairs = seen.filter(F.col("other").isNotNull() & ((F.col("slot") > 0) | (F.col("its") > 0)))
-    return pairs.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other")).distinct()
-
-
-def bucket_collisions(rare: DataFrame, every: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``key, other``: every pair of a bucket with at least one spelling of ``rare``; both tables have ``key, band``, ``rare`` is part of ``every``.
-
-    A bucket with more than ``block`` rare spellings is split into blocks of about that size; the others of the bucket meet each of
-    them. Each pair comes out once.
+                townless, common, initial = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+                parts = []
+                who = np.arange(len(words)) if offered else np.flatnonzero(~common)
+                if banded and len(who):
+                    parts.append((np.repeat(who, bands), BAND, band_values([words[i] for i in who], town[who], rows, bands).reshape(-1)))
+                for kind, who, texts in (
+                    (ENDS, np.flatnonzero(~initial & (~townless if offered else townless)), end_values),
+                    (INITIAL, np.flatnonzero(~townless & (~initial if offered else initial)), lambda w: initial_values(w, offered)),
+                ):
+                    made = [hashed(texts(words[i]), int(town[i]) & 0xFFFFFFFF if kind == INITIAL else 0) for i in who]
+                    parts.append((np.repeat(who, [len(m) for m in made]), kind, np.array([v for m in made for v in m], dtype=np.uint64).view(np.int64)))
+                index, kinds, values = np.concatenate([p[0] for p in parts]), np.concatenate([np.full(len(p[0]), p[1], np.int8) for p in parts]), np.concatenate([p[2] for p in parts])
+                if kept is not None:
+                    bit = values.view(np.uint64) % np.uint64(SIEVE_BITS)
+                    met = (kept[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    index, kinds, values = index[met], kinds[met], values[met]
+                yield pa.RecordBatch.from_arrays([pa.array(key[index]), pa.array(kinds), pa.array(values)], ["key", "kind", "value"])
+
+    told = names.filter(F.col("words") != "").select("key", "words", F.xxhash64("town").alias("t"), (F.col("town") == "").alias("townless"), "common", "initial")
+    return told.mapInArrow(run, "key bigint, kind byte, value bigint")
+
+
+def sieve_of(values: DataFrame):  # noqa: ANN201
+    """A broadcast of ``SIEVE_BITS`` bits with those of the ``value``s set. What it lets through is joined exactly, so it only saves a shuffle."""
+    bit = F.pmod(F.col("value"), F.lit(SIEVE_BITS)) + 1
+    pieces = values.groupBy(F.bitmap_bucket_number(bit).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect()  # at most SIEVE_BITS / 32768 rows
+    bits = bytearray(SIEVE_BITS // 8)
+    for r in pieces:
+        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = r["m"]
+    return values.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
+def name_candidates(names: DataFrame, block: int = BLOCK, bands: bool = True) -> DataFrame:
+    """``kind, own, key``, written: every pair of a seeker ``own`` and another reading that offers a value it seeks.
+
+    All members of a MinHash bucket meet all its seekers. A value with more than ``block`` seekers is split into blocks.
+    Without ``bands`` only readings without a town or with an initial seek.
     """
-    hot = cut(rare.groupBy("band").count().filter(F.col("count") > block).select("band", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
-    on, left, right = ["band"], rare.withColumnRenamed("key", "own"), every
-    if hot.limit(1).count():
-        on = ["band", "block"]
-        left = left.join(hot, "band", "left").select("own", "band", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("own"), F.col("blocks")).cast("int")).alias("block"))
-        right = right.join(hot, "band", "left").select("key", "band", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"))
-    met = right.join(left, on).filter(F.col("key") != F.col("own"))
-    return met.select(F.least("key", "own").alias("key"), F.greatest("key", "own").alias("other")).distinct()
-
-
-def word_similarity(a: Column, b: Column) -> Column:
-    """1 minus the edits per letter of the longer word; a swap of neighbours counts as one edit."""
-    distance = F.levenshtein(a, b)
-    swap = (distance == 2) & (F.length(a) == F.length(b)) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-    return 1 - F.when(swap, 1).otherwise(distance) / F.greatest(F.length(a), F.length(b), F.lit(1))
-
+    sought = cut(name_values(names, offered=False, banded=bands))
+    offered = name_values(names, offered=True, sieve=sieve_of(sought), banded=bands)
+    met = blocked_join(sought.withColumnRenamed("key", "own"), offered, ["kind", "value"], block).filter(F.col("key") != F.col("own"))
+    return cut(met.select("kind", "own", "key").distinct())
 
-def monge_elkan(a: Column, b: Column) -> Column:
-    """Symmetric Monge-Elkan similarity of two names of at most two words each: the smaller of both directions.
 
-    Names of more or fewer words are compared as one word each, which joined or split words need.
-    """
-    x, y = F.split(a, " "), F.split(b, " ")
-    x1, x2, y1, y2 = F.get(x, F.lit(0)), F.get(x, F.lit(1)), F.get(y, F.lit(0)), F.get(y, F.lit(1))
-    s11, s12, s21, s22 = word_similarity(x1, y1), word_similarity(x1, y2), word_similarity(x2, y1), word_similarity(x2, y2)
-    two = F.least((F.greatest(s11, s12) + F.greatest(s21, s22)) / 2, (F.greatest(s11, s21) + F.greatest(s12, s22)) / 2)
-    weakest = F.greatest(F.least(s11, s22), F.least(s12, s21))
-    joined = F.greatest(
-        word_similarity(F.replace(a, F.lit(" ")), F.replace(b, F.lit(" "))),
-        word_similarity(F.concat_ws("", F.reverse(x)), F.replace(b, F.lit(" "))),
-    )
-    return F.when((F.size(x) == 2) & (F.size(y) == 2), F.when(weakest >= 0.75, two).otherwise(F.lit(0.0))).otherwise(joined)
+def similar_names(pairs: DataFrame, names: DataFrame, least: float) -> DataFrame:
+    """``own, key, s`` of the pairs whose names are similar enough; two names of common words are two names."""
+    mine = names.select(F.col("key").alias("own"), F.col("words").alias("w"), F.col("common").alias("c"))
+    both = pairs.join(mine, "own").join(names.select("key", F.col("words").alias("v"), F.col("common").alias("d")), "key")
+    both = both.filter(~(F.col("c") & F.col("d")) | (F.col("w") == F.col("v")))
+    two = (F.size(F.split("w", " ")) == 2) & (F.size(F.split("v", " ")) == 2)  # apart, as only their measure is compiled
+    s = lambda measure: F.when(F.col("w") == F.col("v"), F.lit(1.0)).otherwise(measure(F.col("w"), F.col("v"))).alias("s")
+    scored = both.filter(two).select("own", "key", s(two_by_two)).unionByName(both.filter(~two).select("own", "key", s(monge_elkan)))
+    return scored.filter(F.col("s") >= least)
 
 
-def verified(pairs: DataFrame, spellings: DataFrame, least: float) -> DataFrame:
-    """``key, other, similarity, n, n2`` of the pairs whose names are similar enough; two different names of common words are two names."""
-    own = spellings.select("key", F.col("words").alias("w"), F.col("support").alias("n"), "common")
-    both = pairs.join(own, "key").join(own.select(F.col("key").alias("other"), F.col("w").alias("w2"), F.col("n").alias("n2"), F.col("common").alias("common2")), "other")
-    return both.filter(~(F.col("common") & F.col("common2"))).withColumn("similarity", monge_elkan(F.col("w"), F.col("w2"))).filter(F.col("similarity") >= least).select("key", "other", "similarity", "n", "n2")
+def unit_edges(similar: DataFrame, named: DataFrame) -> DataFrame:
+    """``key, other, similarity, n, n2``: the best pair of readings between two units, with both units' supports."""
+    unit = named.select("key", "unit")
+    support = named.groupBy("unit").agg(F.sum("support").alias("n"))
+    ends = similar.join(unit.select(F.col("key").alias("own"), F.col("unit").alias("u")), "own").join(unit.withColumnRenamed("unit", "v"), "key").filter(F.col("u") != F.col("v"))
+    best = ends.groupBy(F.least("u", "v").alias("key"), F.greatest("u", "v").alias("other")).agg(F.max("s").alias("similarity"))
+    return best.join(support.select(F.col("unit").alias("key"), "n"), "key").join(support.select(F.col("unit").alias("other"), F.col("n").alias("n2")), "other")
 
 
-def star_clusters(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """``key, center`` for every spelling with an edge: stars around the best supported ones.
+def star_clusters(edges: DataFrame) -> DataFrame:
+    """``key, center`` for every node with an edge: stars around the best supported ones.
 
-    ``edges`` has ``key, other, similarity, n, n2`` with the supports of both ends. Spellings rank by support, then key. One without an
+    ``edges`` has ``key, other, similarity, n, n2`` with the supports of both ends. Nodes rank by support, then by edges, then key. One without an
     undecided neighbour of higher rank becomes a center unless it already touches one; then it is a satellite of
-    the most similar center it touches. Rounds go on until all are decided, which the ranks guarantee.
+    the most similar center it touches. Each round decides at least the highest open rank of every component, so the rounds end.
     """
-    rank = lambda n, k: F.struct(F.col(n).alias("n"), (-F.col(k)).alias("k"))
-    sided = edges.select("key", "other", "similarity", rank("n", "key").alias("own"), rank("n2", "other").alias("its")).unionByName(
-        edges.select(F.col("other").alias("key"), F.col("key").alias("other"), "similarity", rank("n2", "other").alias("own"), rank("n", "key").alias("its"))
-    )
-    sided = cut(sided)
+    both = edges.select("key", "other", "similarity", "n", "n2").unionByName(edges.select(F.col("other").alias("key"), F.col("key").alias("other"), "similarity", F.col("n2").alias("n"), F.col("n").alias("n2")))
+    degree = cut(both.groupBy("key").agg(F.count("*").alias("d")))
+    rank = lambda n, d, k: F.struct(F.col(n).alias("n"), F.col(d).alias("d"), (-F.col(k)).alias("k"))
+    ranked = both.join(degree, "key").join(degree.select(F.col("key").alias("other"), F.col("d").alias("d2")), "other")
+    sided = cut(ranked.select("key", "other", "similarity", rank("n", "d", "key").alias("own"), rank("n2", "d2", "other").alias("its")))
     state = cut(sided.groupBy("key").agg(F.max((F.col("its") > F.col("own")).cast("int")).alias("below")).select("key", F.when(F.col("below") == 0, 1).otherwise(0).alias("is")))  # 1 center, 2 satellite, 0 open
-    for _ in range(rounds):
+    while state.filter(F.col("is") == 0).limit(1).count():
         around = sided.join(state.select(F.col("key").alias("other"), F.col("is").alias("its_state")), "other").filter(F.col("its") > F.col("own"))
         told = around.groupBy("key").agg(F.max((F.col("its_state") == 1).cast("int")).alias("touch"), F.max((F.col("its_state") == 0).cast("int")).alias("wait"))
-        following = cut(
+        state = cut(
             state.join(told, "key", "left").select("key", F.when(F.col("is") != 0, F.col("is")).when(F.coalesce("touch", F.lit(0)) == 1, 2).when(F.coalesce("wait", F.lit(0)) == 0, 1).otherwise(0).alias("is"))
         )
-        state = following
-        if state.filter(F.col("is") == 0).limit(1).count() == 0:
-            break
-    else:
-        raise RuntimeError("stars did not settle")
     centers = state.filter(F.col("is") == 1).select(F.col("key").alias("other"))
     satellites = (
         sided.join(centers, "other").join(state.filter(F.col("is") == 2).select("key"), "key").groupBy("key").agg(F.max(F.struct("similarity", "its", "other")).alias("m")).select("key", F.col("m.other").alias("center"))
@@ -177,105 +189,57 @@ def star_clusters(edges: DataFrame, rounds: int = 30) -> DataFrame:
     return satellites.unionByName(centers.select(F.col("other").alias("key"), F.col("other").alias("center")))
 
 
-def unsettled_links(houses: DataFrame, unsettled: DataFrame, districts: DataFrame) -> DataFrame:
-    """``key, center``: spellings that lack a town or a word, and the one house that they can mean.
+def settled_houses(housed: DataFrame, candidates: DataFrame, least: float = 0.85) -> DataFrame:
+    """``key, house, s``: the houses of all readings after those without a town, or with an initial, joined the one house that they can mean.
 
-    ``houses`` has ``center, town, words``, ``unsettled`` has ``key, town, words, district``, ``districts`` has ``center, district``.
-    Without a town a house is a candidate if both words agree but for one error in one of them, found through one whole word and two letters at an end
-    of the other. With an initial in place of a word, the other word and the town must agree. Houses in the
-    named neighbourhood come first, then closer names. Where two remain there is no link.
+    ``housed`` has the readings with their ``house``, ``candidates`` comes from ``name_candidates``. A house is meant if a name of it is at least ``least``
+    similar, or has a word for the initial and else the same words. Houses in the named neighbourhood come first, then
+    closer names. Where two remain, or readings of one house disagree, nothing is joined. ``s`` is that similarity, 1 where nothing was joined.
     """
-    w = F.split("words", " ")
-    a, b = F.get(w, F.lit(0)), F.get(w, F.lit(1))
-    entry = lambda block, rest: F.struct(block.alias("block"), rest.alias("rest"))
-    ends = [entry(F.xxhash64(whole, F.lit(end), part), other) for whole, other in ((a, b), (b, a)) for end, part in (("<", F.substring(other, 1, 2)), (">", F.right(other, F.lit(2))))]
-    firsts = [entry(F.xxhash64("town", whole, F.lit("="), F.substring(other, 1, 1)), other) for whole, other in ((a, b), (b, a))]
-    short = F.least(F.length(a), F.length(b)) == 1
-    blocks = F.when(short & (F.col("town") != ""), F.array(*[f for f in firsts])).when(~short & (F.col("town") == ""), F.array(*ends))
-    left = cut(unsettled.filter(F.size(w) == 2).select("key", "district", short.alias("short"), F.explode(blocks).alias("e")).select("key", "district", "short", "e.block", F.col("e.rest").alias("mine")))
-    right = houses.filter((F.size(w) == 2) & ~short).select("center", F.explode(F.array(*ends, *firsts)).alias("e")).select("center", "e.*")
-    apart = F.abs(F.length("mine") - F.length("rest"))
-    score = F.when(F.col("short"), F.when((F.length("mine") == 1) & F.startswith("rest", F.col("mine")), 1.0)).when(F.col("mine") == F.col("rest"), 1.0).when(apart <= 1, F.when(one_error_apart(F.col("mine"), F.col("rest")), 0.9))
-    found = cut(left.join(right, "block").withColumn("s", score).filter(F.col("s").isNotNull()).select("key", "center", "district", "s").distinct())
-    here = districts.join(found.select("center").distinct(), "center", "left_semi").select("center", "district", F.lit(1).alias("here"))
-    ranked = found.join(here, ["center", "district"], "left").groupBy("key", "center").agg(F.max(F.struct(F.coalesce("here", F.lit(0)).alias("near"), "s")).alias("r"))
-    best = ranked.groupBy("key").agg(F.max("r").alias("r"))
-    return ranked.join(best, ["key", "r"]).groupBy("key").agg(F.count("*").alias("n"), F.min("center").alias("center")).filter(F.col("n") == 1).select("key", "center")
-
-
-def spelled(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two written tables: what each (town, words) of the records is read as, and the distinct readings.
-
-    The first has ``key, town, words, fixed, common, district, name``, the second ``key`` (its ``name``)``, town, words, support, district, common``.
-    """
-    raw = cut(records.groupBy("key", "town", "words").agg(F.count("*").alias("support"), F.max("district").alias("district")))
-    fixed = corrected_names(raw.select("words", F.col("support").alias("n")))
-    renamed = cut(raw.join(fixed, "words").withColumn("name", F.when(F.col("words") == "", F.col("key")).otherwise(F.xxhash64("town", "fixed"))))
-    spellings = cut(renamed.groupBy(F.col("name").alias("key"), "town", F.col("fixed").alias("words")).agg(F.sum("support").alias("support"), F.max("district").alias("district"), F.min("common").alias("common")))
-    return renamed, spellings
-
-
-def source_ties(records: DataFrame, names: DataFrame) -> DataFrame:
-    """``key, center``: different readings that one source id carries, each with the smallest of them."""
-    carried = records.filter(F.col("source").isNotNull() & (F.col("words") != "")).select("source", "key")
-    several = carried.groupBy("source").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter(F.col("a") != F.col("b")).select("source")
-    read = carried.join(several, "source", "left_semi").distinct().join(names.select("key", "name"), "key").select("source", F.col("name").alias("key")).distinct()
-    return read.join(read.groupBy("source").agg(F.min("key").alias("center")), "source").filter(F.col("key") != F.col("center")).select("key", "center").distinct()
-
-
-def house_districts(names: DataFrame, named: DataFrame) -> DataFrame:
-    """``center, district``: the neighbourhoods that the records of a house name, each once."""
-    told = names.filter((F.col("town") != "") & (F.col("district") != "")).select(F.col("name").alias("key"), "district").distinct()
-    return told.join(named.select("key", F.col("house").alias("center")), "key").select("center", "district").distinct()
-
-
-def name_clusters(records: DataFrame, least: float = 0.86) -> DataFrame:
-    """``key, house`` for every spelling; ``records`` has ``key, source, words, town, district``.
-
-    A spelling is a distinct (town, own words); copies and repeated deliveries only add to its support. Before hashing, errors that the
-    corpus itself shows are corrected (``corrected_names``), so that MinHash meets what is left. Spellings that one
-    source id carries are tied; ones without a town or with an initial for a word join a house by ``unsettled_links``.
+    housed = cut(housed.select("key", "house", "town", "words", "district", "common", "initial"))
+    settled = (F.col("town") != "") & ~F.col("initial")
+    bound = housed.filter(settled).select("house").distinct()
+    loose = housed.filter(~settled & (F.col("words") != "")).join(bound, "house", "left_anti").select("key", "house", "district")
+    pairs = candidates.filter(F.col("kind") != BAND).join(loose.select(F.col("key").alias("own")), "own", "left_semi")
+    ends = similar_names(pairs.filter(F.col("kind") == ENDS).select("own", "key"), housed, least)
+    found = ends.unionByName(pairs.filter(F.col("kind") == INITIAL).select("own", "key", F.lit(1.0).alias("s")))
+    meant = cut(found.join(housed.select("key", F.col("house").alias("center")), "key").groupBy("own", "center").agg(F.max("s").alias("s")).join(loose.select(F.col("key").alias("own"), "house", "district"), "own"))
+    here = housed.filter(settled & (F.col("district") != "")).select(F.col("house").alias("center"), "district").distinct().join(meant.select("center").distinct(), "center", "left_semi").withColumn("here", F.lit(1))
+    ranked = meant.join(here, ["center", "district"], "left").select("own", "house", "center", F.struct(F.coalesce("here", F.lit(0)).alias("near"), "s").alias("r"))
+    best = ranked.groupBy("own").agg(F.max("r").alias("r"))
+    single = ranked.join(best, ["own", "r"]).groupBy("own", "house").agg(F.count("*").alias("n"), F.min("center").alias("center"), F.max("r.s").alias("s"))
+    agreed = single.groupBy("house").agg(F.max("n").alias("n"), F.min("center").alias("center"), F.max("center").alias("also"), F.min("s").alias("s")).filter((F.col("n") == 1) & (F.col("center") == F.col("also")))
+    return housed.select("key", "house").join(agreed.select("house", "center", "s"), "house", "left").select("key", F.coalesce("center", "house").alias("house"), F.coalesce("s", F.lit(1.0)).alias("s"))
+
+
+def name_clusters(records: DataFrame, least: float = LEAST) -> DataFrame:
+    """``key, house`` for every reading; ``records`` has ``key, source, words, town, district``.
+
+    Readings that one source id carries are one unit. Uncommon readings meet all of their town's readings in their MinHash buckets; what
+    Monge-Elkan finds similar enough links units, and stars of units are houses. Readings without a town or with an initial join the one house that they can mean.
     """
-    names, spellings = spelled(records)
-    rows, bands = tuned_bands()
-    buckets = lambda some: band_rows(some, rows, bands).select("key", "band")
-    rare = cut(buckets(spellings.filter(~F.col("common"))))
-    edges = cut(verified(bucket_collisions(rare, rare.unionByName(buckets(spellings.filter("common")))), spellings, least))
-    stars = star_clusters(edges).filter(F.col("key") != F.col("center"))
-    tied = source_ties(records, names)
-    roots = components(stars.unionByName(tied).distinct(), "key", "center").withColumnRenamed("node", "key")
-    named = cut(spellings.join(roots, "key", "left").withColumn("house", F.coalesce("root", "key")).drop("root"))
-    settled = named.filter(F.col("town") != "").select(F.col("house").alias("center"), "key", "town", "words")
-    loose = named.filter((F.col("town") == "") | F.col("words").rlike(r"(^| )[a-z]( |$)"))
-    found = unsettled_links(settled, loose.select("key", "town", "words", "district"), house_districts(names, named))
-    linked = cut(loose.select("key", "house").join(found, "key").groupBy("house").agg(F.min("center").alias("center"), F.max("center").alias("also")).filter((F.col("center") == F.col("also")) & (F.col("center") != F.col("house"))).select("house", "center"))
-    merged = components(linked, "house", "center").select(F.col("node").alias("house"), "root")
-    final = named.join(merged, "house", "left").select(F.col("key").alias("name"), F.coalesce("root", "house").alias("house"))
-    return names.select("key", "name").join(final, "name").select("key", "house")
-
-
-def keyed_records(spark: SparkSession, directory: str, extra: dict[str, Column] | None = None, sources: list[str] | None = None) -> DataFrame:
-    """House records with ``key``, the hash of town and own words (with the initial where there is one word only)."""
-    rows = with_towns(cut(house_records(spark, directory, extra, sources)), town_codes(spark, directory))
-    words = F.when(F.instr("words", " ") == 0, F.trim(F.concat_ws(" ", "words", F.when(F.length("words") <= 10, F.right("initials", F.lit(1)))))).otherwise(F.col("words"))
-    rows = rows.withColumn("words", F.when(F.col("words") == "", "").otherwise(words))
-    return rows.withColumn("key", F.when(F.col("words") == "", F.xxhash64("pos")).otherwise(F.xxhash64("town", "words")))
+    names = readings(records)
+    candidates = name_candidates(names)
+    named = cut(source_units(records, names))
+    edges = cut(unit_edges(similar_names(candidates.filter(F.col("kind") == BAND).select(F.least("own", "key").alias("own"), F.greatest("own", "key").alias("key")).distinct(), names, least), named))
+    stars = star_clusters(edges).select(F.col("key").alias("unit"), "center")
+    return settled_houses(named.join(stars, "unit", "left").withColumn("house", F.coalesce("center", "unit")), candidates).select("key", "house")
 
 
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
     """Pairs of rows of one house, at least one of them sefaz, whose names are different strings."""
     records = keyed_records(spark, directory, {"nome_hash": F.xxhash64("nome")})
-    housed = records.select("pos", "fonte", "nome_hash", "key").join(name_clusters(records), "key")
-    sefaz = housed.filter(F.col("fonte") == "sefaz").select("house", F.col("pos").alias("p"), F.col("nome_hash").alias("h"))
-    every = housed.select("house", F.col("pos").alias("q"), F.col("nome_hash").alias("g"), (F.coalesce(F.col("fonte"), F.lit("")) == "sefaz").alias("s"))
-    pairs = sefaz.join(every, "house").filter((F.col("h") != F.col("g")) & (~F.col("s") | (F.col("p") < F.col("q"))))
+    housed = cut(records.select("pos", "fonte", "nome_hash", "key").join(name_clusters(records), "key").select("pos", (F.coalesce("fonte", F.lit("")) == "sefaz").alias("s"), "nome_hash", "house"))
+    sefaz = housed.filter("s").select("house", F.col("pos").alias("p"), F.col("nome_hash").alias("h"))
+    every = housed.select("house", F.col("pos").alias("q"), F.col("nome_hash").alias("g"), "s")
+    pairs = blocked_join(sefaz, every, ["house"], 10_000).filter((F.col("h") != F.col("g")) & (~F.col("s") | (F.col("p") < F.col("q"))))
     return pairs.select(F.least("p", "q").alias("pos_a"), F.greatest("p", "q").alias("pos_b"))
 
 
 def p6_houses(spark: SparkSession, directory: str) -> DataFrame:
     """The compact form: each row with a name and the house it names, by the smallest ``pos`` of the house, and the house's rows."""
     records = keyed_records(spark, directory)
-    housed = records.select("pos", "key").join(name_clusters(records), "key")
+    housed = cut(records.select("pos", "key").join(name_clusters(records), "key").select("pos", "house"))
     heads = housed.groupBy("house").agg(F.min("pos").alias("casa"), F.count("*").alias("registros"))
     return housed.join(heads, "house").select("pos", "casa", "registros")
 
