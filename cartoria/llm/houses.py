@@ -81,8 +81,9 @@ def keyed_records(spark: SparkSession, directory: str, extra: dict[str, Column]
 
 
 def readings(records: DataFrame) -> DataFrame:
-    """The distinct readings, written: ``key, town, words, support, district, common, initial``.
+    """The distinct readings, written: ``key, hash, town, words, support, district, common, initial``; ``hash`` is the records' key.
 
+    ``key`` numbers the readings; numbers take less room in a shuffle than hashes.
     ``support`` counts the records, so copies and repeated deliveries only add to it. ``common`` tells that every word is about as frequent as
     words are: at least a quarter of the mean frequency that an occurrence of a word meets. Two names of common words are two names;
     whoever mistypes a word makes an uncommon one. ``initial`` tells that an initial stands for a word.
@@ -94,7 +95,7 @@ def readings(records: DataFrame) -> DataFrame:
     usual = words.filter((F.col("n") >= mean / 4) & (F.length("word") > 1)).select("word", F.lit(True).alias("usual"))
     common = each.join(small(usual), "word", "left").groupBy("key").agg(F.min(F.coalesce("usual", F.lit(False))).alias("common"))
     initial = F.col("words").rlike(r"(^| )[a-z0-9]( |$)")
-    return cut(raw.join(common, "key", "left").select("key", "town", "words", "support", "district", F.coalesce("common", F.lit(False)).alias("common"), initial.alias("initial")))
+    return cut(raw.join(common, "key", "left").select(F.monotonically_increasing_id().alias("key"), F.col("key").alias("hash"), "town", "words", "support", "district", F.coalesce("common", F.lit(False)).alias("common"), initial.alias("initial")))
 
 
 def source_units(records: DataFrame, names: DataFrame) -> DataFrame:
@@ -102,5 +103,7 @@ def source_units(records: DataFrame, names: DataFrame) -> DataFrame:
     carried = records.filter(F.col("source").isNotNull() & (F.col("words") != "")).select("source", "key")
     ends = carried.groupBy("source").agg(F.min("key").alias("center"), F.max("key").alias("last")).filter(F.col("center") != F.col("last"))
     tied = carried.join(ends.select("source", "center"), "source").filter(F.col("key") != F.col("center")).select("key", "center").distinct()
-    units = components(tied, "key", "center").select(F.col("node").alias("key"), F.col("root").alias("unit"))
-    return names.join(units, "key", "left").withColumn("unit", F.coalesce("unit", "key"))
+    units = components(tied, "key", "center").select(F.col("node").alias("hash"), F.col("root").alias("unit"))
+    known = names.select("hash", "key").join(units, "hash")  # few: only readings that share an id
+    numbers = known.join(known.groupBy("unit").agg(F.min("key").alias("number")), "unit").select("hash", F.col("number").alias("unit"))
+    return names.join(numbers, "hash", "left").withColumn("unit", F.coalesce("unit", "key"))

@@ -7,7 +7,7 @@ from functools import lru_cache
 from typing import NamedTuple
 
 from cartoria.llm.address_parse import plain
-from cartoria.llm.lookalikes import LOOKALIKES, SUSPECT, repair
+from cartoria.llm.lookalikes import LOOKALIKES, SUSPECT, displayed
 
 # Words and abbreviations that say what kind of house it is.
 GENERIC = set(
@@ -112,7 +112,7 @@ def parse_name(name: str | None, town: str = "") -> House:
     """
     text = name or ""
     if not text.isascii() and SUSPECT_LETTER.search(text):
-        text = WORD.sub(latin, repair(text)[0])
+        text = WORD.sub(latin, displayed(text))
     words: list[str] = []
     tail: list[str] = []
     for part in plain(text).replace("'", "").split(","):

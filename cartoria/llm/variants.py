@@ -5,7 +5,7 @@ MinHash banding over padded q-grams of the own words, as they were typed, verifi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cartoria.functions.lineage import cut
 from cartoria.llm.houses import keyed_records, readings, source_units
 from cartoria.llm.linkage import monge_elkan, two_by_two
-from cartoria.operators.skew import blocked_join
+from cartoria.operators.skew import blocked_join, small
 
 RECALL, SIMILARITY, HASHES, LEAST = 0.99, 0.62, 116, 0.82
 #: So many seekers that share a value are compared in one block.
@@ -83,7 +83,7 @@ def initial_values(words: str, offered: bool) -> list[str]:
 
 
 def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True) -> DataFrame:  # noqa: ANN001 - a broadcast of bytes
-    """``key, kind, value``: what readings can share.
+    """``key, kind, value, two, common``: what readings can share; ``two`` tells that the name has two words.
 
     Sought are bands by uncommon readings, ends by readings without a town, initials by readings that have some. Offered are bands by all
     and the others by readings that have a town and no initial. A ``sieve`` leaves out values that nobody seeks.
@@ -115,10 +115,11 @@ def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True
                     bit = values.view(np.uint64) % np.uint64(SIEVE_BITS)
                     met = (kept[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     index, kinds, values = index[met], kinds[met], values[met]
-                yield pa.RecordBatch.from_arrays([pa.array(key[index]), pa.array(kinds), pa.array(values)], ["key", "kind", "value"])
+                two = np.array([w.count(" ") == 1 for w in words])
+                yield pa.RecordBatch.from_arrays([pa.array(key[index]), pa.array(kinds), pa.array(values), pa.array(two[index]), pa.array(common[index])], ["key", "kind", "value", "two", "common"])
 
     told = names.filter(F.col("words") != "").select("key", "words", F.xxhash64("town").alias("t"), (F.col("town") == "").alias("townless"), "common", "initial")
-    return told.mapInArrow(run, "key bigint, kind byte, value bigint")
+    return told.mapInArrow(run, "key bigint, kind byte, value bigint, two boolean, common boolean")
 
 
 def sieve_of(values: DataFrame):  # noqa: ANN201
@@ -132,26 +133,31 @@ def sieve_of(values: DataFrame):  # noqa: ANN201
 
 
 def name_candidates(names: DataFrame, block: int = BLOCK, bands: bool = True) -> DataFrame:
-    """``kind, own, key``, written: every pair of a seeker ``own`` and another reading that offers a value it seeks.
+    """``kind, own, key, two``, written: every pair of a seeker ``own`` and another reading that offers a value it seeks; ``two`` tells that both names have two words.
+
+    Two seekers of one band are a pair once, the smaller ``own`` first.
 
     All members of a MinHash bucket meet all its seekers. A value with more than ``block`` seekers is split into blocks.
     Without ``bands`` only readings without a town or with an initial seek.
     """
     sought = cut(name_values(names, offered=False, banded=bands))
     offered = name_values(names, offered=True, sieve=sieve_of(sought), banded=bands)
-    met = blocked_join(sought.withColumnRenamed("key", "own"), offered, ["kind", "value"], block).filter(F.col("key") != F.col("own"))
-    return cut(met.select("kind", "own", "key").distinct())
+    met = blocked_join(sought.select("kind", "value", F.col("key").alias("own"), F.col("two").alias("_two")), offered, ["kind", "value"], block)
+    own, key = F.col("own"), F.col("key")
+    one = met.filter((own != key) & ((F.col("kind") != BAND) | (own < key) | F.col("common"))).select("kind", "own", "key", (F.col("two") & F.col("_two")).alias("two"))
+    return cut(one.groupBy("kind", "own", "key", "two").agg(F.lit(1).alias("one")).drop("one"))
 
 
 def similar_names(pairs: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """``own, key, s`` of the pairs whose names are similar enough; two names of common words are two names."""
     mine = names.select(F.col("key").alias("own"), F.col("words").alias("w"), F.col("common").alias("c"))
-    both = pairs.join(mine, "own").join(names.select("key", F.col("words").alias("v"), F.col("common").alias("d")), "key")
-    both = both.filter(~(F.col("c") & F.col("d")) | (F.col("w") == F.col("v")))
-    two = (F.size(F.split("w", " ")) == 2) & (F.size(F.split("v", " ")) == 2)  # apart, as only their measure is compiled
-    s = lambda measure: F.when(F.col("w") == F.col("v"), F.lit(1.0)).otherwise(measure(F.col("w"), F.col("v"))).alias("s")
-    scored = both.filter(two).select("own", "key", s(two_by_two)).unionByName(both.filter(~two).select("own", "key", s(monge_elkan)))
-    return scored.filter(F.col("s") >= least)
+    its = names.select("key", F.col("words").alias("v"), F.col("common").alias("d"))
+
+    def scored(some: DataFrame, measure: Callable[[Column, Column], Column]) -> DataFrame:
+        both = some.join(mine, "own").join(its, "key").filter(~(F.col("c") & F.col("d")) | (F.col("w") == F.col("v")))
+        return both.select("own", "key", F.when(F.col("w") == F.col("v"), F.lit(1.0)).otherwise(measure(F.col("w"), F.col("v"))).alias("s")).filter(F.col("s") >= least)
+
+    return scored(pairs.filter("two"), two_by_two).unionByName(scored(pairs.filter(~F.col("two")), monge_elkan))  # apart, as only the former is compiled
 
 
 def unit_edges(similar: DataFrame, named: DataFrame) -> DataFrame:
@@ -190,18 +196,18 @@ def star_clusters(edges: DataFrame) -> DataFrame:
 
 
 def settled_houses(housed: DataFrame, candidates: DataFrame, least: float = 0.85) -> DataFrame:
-    """``key, house, s``: the houses of all readings after those without a town, or with an initial, joined the one house that they can mean.
+    """``hash, house, s``: the houses of all readings after those without a town, or with an initial, joined the one house that they can mean.
 
     ``housed`` has the readings with their ``house``, ``candidates`` comes from ``name_candidates``. A house is meant if a name of it is at least ``least``
     similar, or has a word for the initial and else the same words. Houses in the named neighbourhood come first, then
     closer names. Where two remain, or readings of one house disagree, nothing is joined. ``s`` is that similarity, 1 where nothing was joined.
     """
-    housed = cut(housed.select("key", "house", "town", "words", "district", "common", "initial"))
+    housed = cut(housed.select("key", "hash", "house", "town", "words", "district", "common", "initial"))
     settled = (F.col("town") != "") & ~F.col("initial")
     bound = housed.filter(settled).select("house").distinct()
     loose = housed.filter(~settled & (F.col("words") != "")).join(bound, "house", "left_anti").select("key", "house", "district")
     pairs = candidates.filter(F.col("kind") != BAND).join(loose.select(F.col("key").alias("own")), "own", "left_semi")
-    ends = similar_names(pairs.filter(F.col("kind") == ENDS).select("own", "key"), housed, least)
+    ends = similar_names(pairs.filter(F.col("kind") == ENDS), housed, least)
     found = ends.unionByName(pairs.filter(F.col("kind") == INITIAL).select("own", "key", F.lit(1.0).alias("s")))
     meant = cut(found.join(housed.select("key", F.col("house").alias("center")), "key").groupBy("own", "center").agg(F.max("s").alias("s")).join(loose.select(F.col("key").alias("own"), "house", "district"), "own"))
     here = housed.filter(settled & (F.col("district") != "")).select(F.col("house").alias("center"), "district").distinct().join(meant.select("center").distinct(), "center", "left_semi").withColumn("here", F.lit(1))
@@ -209,11 +215,11 @@ def settled_houses(housed: DataFrame, candidates: DataFrame, least: float = 0.85
     best = ranked.groupBy("own").agg(F.max("r").alias("r"))
     single = ranked.join(best, ["own", "r"]).groupBy("own", "house").agg(F.count("*").alias("n"), F.min("center").alias("center"), F.max("r.s").alias("s"))
     agreed = single.groupBy("house").agg(F.max("n").alias("n"), F.min("center").alias("center"), F.max("center").alias("also"), F.min("s").alias("s")).filter((F.col("n") == 1) & (F.col("center") == F.col("also")))
-    return housed.select("key", "house").join(agreed.select("house", "center", "s"), "house", "left").select("key", F.coalesce("center", "house").alias("house"), F.coalesce("s", F.lit(1.0)).alias("s"))
+    return housed.select("hash", "house").join(small(agreed.select("house", "center", "s")), "house", "left").select("hash", F.coalesce("center", "house").alias("house"), F.coalesce("s", F.lit(1.0)).alias("s"))
 
 
 def name_clusters(records: DataFrame, least: float = LEAST) -> DataFrame:
-    """``key, house`` for every reading; ``records`` has ``key, source, words, town, district``.
+    """``key, house`` for the key of every record; ``records`` has ``key, source, words, town, district``.
 
     Readings that one source id carries are one unit. Uncommon readings meet all of their town's readings in their MinHash buckets; what
     Monge-Elkan finds similar enough links units, and stars of units are houses. Readings without a town or with an initial join the one house that they can mean.
@@ -221,9 +227,9 @@ def name_clusters(records: DataFrame, least: float = LEAST) -> DataFrame:
     names = readings(records)
     candidates = name_candidates(names)
     named = cut(source_units(records, names))
-    edges = cut(unit_edges(similar_names(candidates.filter(F.col("kind") == BAND).select(F.least("own", "key").alias("own"), F.greatest("own", "key").alias("key")).distinct(), names, least), named))
+    edges = cut(unit_edges(similar_names(candidates.filter(F.col("kind") == BAND), names, least), named))
     stars = star_clusters(edges).select(F.col("key").alias("unit"), "center")
-    return settled_houses(named.join(stars, "unit", "left").withColumn("house", F.coalesce("center", "unit")), candidates).select("key", "house")
+    return settled_houses(named.join(stars, "unit", "left").withColumn("house", F.coalesce("center", "unit")), candidates).select(F.col("hash").alias("key"), "house")
 
 
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
