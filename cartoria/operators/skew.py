@@ -16,16 +16,33 @@ def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def hot_keys(df: DataFrame, on: list[str], most: int, buckets: int = 1 << 16) -> DataFrame | None:
+    """Keys with more than ``most`` rows and their ``count``, or None if there are none.
+
+    Rows are first counted by ``buckets`` hashes of the key, combined where they are, so that this costs hardly any shuffle; a hot key
+    makes a hot bucket, and only the rows of hot buckets are counted by key. The counts are exact. Null keys aren't counted.
+    """
+    bucket = F.pmod(F.xxhash64(*on), F.lit(buckets)).cast("int")
+    known = df
+    for c in on:
+        known = known.filter(F.col(c).isNotNull())
+    full = cut(known.groupBy(bucket.alias("_b")).count().filter(F.col("count") > most).select("_b"))
+    if not full.limit(1).count():
+        return None
+    found = cut(known.withColumn("_b", bucket).join(F.broadcast(full), "_b", "left_semi").groupBy(*on).count().filter(F.col("count") > most))  # at most `buckets` ints
+    return found if found.limit(1).count() else None
+
+
 def blocked_join(left: DataFrame, right: DataFrame, on: list[str], block: int) -> DataFrame:
     """The inner join ``left.join(right, on)``, its hot keys spread over many tasks.
 
     A key with more than ``block`` rows on the left is split into blocks of about that size; its rows on the right go to
-    each block. Counts are exact and combined before the shuffle, so no key is missed. Without hot keys it is the plain
-    join. ``left`` is read twice: give it as a written table. Null keys match nothing.
+    each block. Without hot keys it is the plain join. ``left`` is read twice: give it as a written table. Null keys match nothing.
     """
-    hot = cut(left.groupBy(*on).count().filter(F.col("count") > block).select(*on, F.ceil(F.col("count") / block).cast("int").alias("_blocks")))
-    if not hot.limit(1).count():
+    found = hot_keys(left, on, block)
+    if found is None:
         return left.join(right, on)
+    hot = small(found.select(*on, F.ceil(F.col("count") / block).cast("int").alias("_blocks")))
     own = F.when(F.col("_blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_blocks")).cast("int"))
     spread = left.join(hot, on, "left").withColumn("_block", own).drop("_blocks")
     repeated = right.join(hot, on, "left").withColumn("_block", F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))).drop("_blocks")
