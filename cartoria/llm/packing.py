@@ -17,10 +17,12 @@ from cartoria.sources.tables import table
 
 CAPACITY = 2_048
 MAX_DOCUMENTS = 512
+#: Attention cost that several documents in one container may have together, as a share of the cost of one that fills it.
+COST_SHARE = 0.9
 
 
 def vector_best_fit(items: np.ndarray, capacity: np.ndarray, weights: np.ndarray, score: str = "norm") -> np.ndarray:
-    """The bin of each item; ``items`` is (n, d), no item larger than ``capacity`` in any respect.
+    """The bin of each item; ``items`` is (n, d). An item that alone exceeds a capacity has a bin of its own.
 
     Items are taken by falling first component, ties in their given order. ``score`` "norm" takes the bin
     whose weighted residual after placing is smallest, "dot" the one with the largest weighted product of item and residual.
@@ -34,6 +36,9 @@ def vector_best_fit(items: np.ndarray, capacity: np.ndarray, weights: np.ndarray
     placed = np.empty(n, dtype=np.int64)
     for k in order:
         item = scaled[k]
+        if (item > 1 + 1e-12).any():
+            placed[k], made = made, made + 1
+            continue
         best = -1
         if used:
             room = left[:used]
@@ -71,12 +76,10 @@ def pack(
     ``size`` null counts as 0; an item of size 0 takes a place but no tokens. Items are spread evenly by hash over
     as many groups as keep each near ``group_tokens`` and ``group_items``, and each group is packed by one task, so what remains
     unused is at most about one container of ``group_tokens / capacity`` more than packing all at once.
-    ``max_cost`` bounds the sum of squared sizes in a container, by default ``capacity`` squared; a smaller one must leave
-    room for the largest piece.
+    ``max_cost`` bounds the sum of squared sizes of the items that share a container, by default ``COST_SHARE`` of ``capacity`` squared. A piece that
+    alone costs more is never cut for that: it has a container to itself, of which at most ``1 - sqrt(COST_SHARE)`` stays unused.
     """
-    max_cost = float(max_cost or capacity * capacity)
-    if max_cost < capacity * capacity:
-        raise ValueError("a full piece must fit: max_cost is at least capacity squared")
+    max_cost = float(capacity * capacity * COST_SHARE if max_cost is None else max_cost)
     sized = counts.select(id, F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_size"))
     items = pieces(sized, id, "_size", capacity)
     total = items.agg(F.sum("n").alias("tokens"), F.count("*").alias("items")).first()

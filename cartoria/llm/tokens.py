@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartoria.sources.tables import table
@@ -116,9 +117,10 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this process for a vocabulary file."""
+    """The encoder of this process for a vocabulary file, which ``encode`` ships to every executor."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        shipped = SparkFiles.get(os.path.basename(path))
+        _encoders[path] = Encoder(shipped if os.path.exists(shipped) else path)
     return _encoders[path]
 
 
@@ -128,6 +130,7 @@ def encode(df: DataFrame, id: str, text: str, path: str, counts_only: bool = Fal
     Null and empty texts give an empty list. Whole texts are encoded, whatever their length. The ids stay in
     Arrow buffers: one flat array and its offsets for each batch.
     """
+    df.sparkSession.sparkContext.addFile(path)
     kind = df.schema[id].dataType.simpleString()
     wanted = "n_tokens bigint" if counts_only else "ids array<int>"
 
