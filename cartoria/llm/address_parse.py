@@ -21,6 +21,13 @@ KINDS = {
     "caminho": "caminho cam cmo",
     "alameda": "alameda alam al",
     "praca": "praca pca pc pr",
+    "largo": "largo lgo lg",
+    "rodovia": "rodovia rod",
+    "loteamento": "loteamento loteam lot",
+    "viela": "viela vla",
+    "passagem": "passagem psg",
+    "servidao": "servidao serv",
+    "via": "via",
 }
 # Kinds of neighbourhood, which begin its name.
 DISTRICTS = {
@@ -50,13 +57,16 @@ REMARK = re.compile(
 )
 POSTCODE = re.compile(r"\b(?:cep[\s:.]*)?(\d{5})[\s.-]?(\d{3})\b")
 NO_NUMBER = re.compile(r"\b(?:s\s*/\s*n[o]?|s\s*\.?\s*n[o]?|sem numero)\b\.?(?=\s*(?:$|[,;()\-/]|cep))")
-NUMBER = re.compile(r"(?:(?<=[\s,;(#])|^)(?:(?:numero|num|no|n)[\s.:]*|#\s*)?(\d{1,5})(?:-?([a-z]))?(?=$|[\s,;()\-]|\.(?!\s*d[aeo]s?\b))")
+NUMBER = re.compile(r"(?:(?<=[\s,;(#])|^)(?:(?:numero|num|no|n)[\s.:]*|#\s*)?(\d{1,5})(?:-?([a-z]))?(?=$|[\s,;()\-]|\.(?!\s*d[aeo]s?\b))(?!\s+d[aeo]s?\s+[a-z])")
 MARKS = re.compile("[\u0300-\u036f]")
 UNKNOWN = {"", "-", "?", "n/i", "a confirmar", "sem endereco", "nao informado", "nao consta"}
 
 
 class Address(NamedTuple):
-    """What an address says; '' where it says nothing. ``street`` has no title, ``number`` no leading zeros and its letter."""
+    """What an address says; '' where it says nothing. ``street`` has no title, ``number`` no leading zeros and its letter.
+
+    ``district`` may be the town where an address names a single place after its street; only the record's own town tells.
+    """
 
     kind: str = ""
     title: str = ""
@@ -169,8 +179,13 @@ def parse(text: str | None) -> Address:
             tail.append(words)
     if not street and tail:
         street = tail.pop(0)
+    if not district and tail and (town or len(tail) > 1):
+        district = tail.pop(0)
     if not town and tail:
-        town = " ".join(tail[0])
+        if district:
+            town = " ".join(tail[0])
+        else:
+            district = tail[0]
     for i in range(2, len(street) - 1):  # a neighbourhood that follows without a separator
         if is_district(street[i:]) and (street[i] != "v" or i > 2):
             street, district = street[:i], district or street[i:]
