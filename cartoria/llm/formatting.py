@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cartoria.functions.lineage import cut
+from cartoria.operators.skew import hot_keys, small
 from cartoria.sources.tables import table
 
 
@@ -21,25 +23,27 @@ def collapse_copies(df: DataFrame, id: str, keys: list[str], hot: int = 10_000,
 
     One row for each input row whose group has more than one. Null equals null and NaN equals NaN.
 
-    1. Partial counts by a 64-bit hash of the keys find every key with more than ``hot`` rows. The counts
+    1. Partial counts by a 64-bit hash of the keys find every key with more than ``hot`` rows (``hot_keys``). The counts
        are exact; two keys that share a hash are at worst both called hot, which changes no result.
-    2. Rows of hot keys are aggregated in two levels, first with one of ``salts`` salts, and get their
-       group's figures back by a join with the few hot groups.
+    2. Rows of hot keys are told by a join with the few hot hashes, broadcast if a count shows that they are few, so they never meet in one
+       exchange; they are aggregated in two levels, first with one of ``salts`` salts, and get their group's figures back from the hot groups.
     3. The other rows are shuffled once: their groups are small enough to carry their ids as a list.
     An empty table gives no rows. Columns beside ``id`` and ``keys`` are not read.
     """
     rows = df.select(F.col(id).alias("_id"), F.xxhash64(*keys).alias("_h"), *[F.col(k) for k in keys])
-    heavy = rows.groupBy("_h").count().filter(F.col("count") > hot).select("_h", F.lit(True).alias("_hot"))
-    marked = rows.join(heavy, "_h", "left")
-    small = (
-        marked.filter(F.col("_hot").isNull())
+    heavy = hot_keys(rows, ["_h"], hot)
+    marked = rows.withColumn("_hot", F.lit(False)) if heavy is None else rows.join(small(heavy.select("_h", F.lit(True).alias("_hot"))), "_h", "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    listed = (
+        marked.filter(~F.col("_hot"))
         .groupBy("_h", *keys)
         .agg(F.collect_list("_id").alias("ids"))
         .filter(F.size("ids") > 1)
         .select(F.explode("ids").alias("id"), F.array_min("ids").alias("first"), F.size("ids").cast("long").alias("copies"))
     )
-    large = marked.filter(F.col("_hot"))
-    groups = (
+    if heavy is None:
+        return listed
+    large = marked.filter("_hot")
+    groups = cut(
         large.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)))
         .groupBy("_h", *keys, "_salt")
         .agg(F.min("_id").alias("first"), F.count("*").alias("copies"))
@@ -50,8 +54,8 @@ def collapse_copies(df: DataFrame, id: str, keys: list[str], hot: int = 10_000,
     same = F.lit(True)
     for k in keys:
         same = same & F.col(f"l.{k}").eqNullSafe(F.col(f"g.{k}"))
-    back = large.alias("l").join(groups.alias("g"), (F.col("l._h") == F.col("g._h")) & same).select(F.col("l._id").alias("id"), "first", "copies")
-    return small.unionByName(back)
+    back = large.alias("l").join(small(groups).alias("g"), (F.col("l._h") == F.col("g._h")) & same).select(F.col("l._id").alias("id"), "first", "copies")
+    return listed.unionByName(back)
 
 
 def keyed_rows(spark: SparkSession, directory: str) -> DataFrame:

@@ -136,6 +136,11 @@ WORDS = regex.compile(r"[\p{L}\p{M}]+")
 ABBREVIATED = regex.compile(r"(?r)(?<![\p{L}\p{M}])[\p{L}\p{M}][\p{L}\p{M}.ºª\-]*(?=\.)")
 
 
+TOLD = {w: [name for name in TELLING if w in TELLING[name]] for w in set().union(*TELLING.values())}
+#: What any language's table looks up before a dot; other candidates need no language.
+ASKED = frozenset(w for rules in LANGUAGES.values() for r in rules for w in r.words)
+
+
 class Table(NamedTuple):
     """Consecutive rules of one action, tried at once: of rules that say the same it doesn't matter which matches."""
 
@@ -146,11 +151,11 @@ class Table(NamedTuple):
 
 
 @lru_cache(maxsize=None)
-def cascade(languages: tuple[str, ...]) -> list[Table]:
-    """The compiled tables for languages in their order."""
+def cascade(languages: tuple[str, ...], initial: bool = False) -> list[Table]:
+    """The compiled tables for languages in their order, those about initials only where an ``initial`` stands before the position."""
     own = [r for name in languages for r in LANGUAGES[name]]
     out = []
-    for act, run in groupby([*EVERYWHERE, *own, *SCRIPTS, *DOMAIN, *INITIALS, *DEFAULTS], key=lambda r: r.act):
+    for act, run in groupby([*EVERYWHERE, *own, *SCRIPTS, *DOMAIN, *(INITIALS if initial else []), *DEFAULTS], key=lambda r: r.act):
         rules = list(run)
         pattern = lambda where: "|".join((f"(?<={r.before})" if r.before else "") + f"(?={r.after})" for r in rules if r.where == where and not r.words)
         words: dict[str, list[str]] = {}
@@ -169,8 +174,10 @@ def languages_of(paragraph: str, label: str) -> tuple[str, ...]:
     """
     if not paragraph.isascii() and not LATIN.search(paragraph):
         return ()
-    seen = [w.lower() for w in WORDS.findall(paragraph)]
-    hits = {name: sum(w in telling for w in seen) for name, telling in TELLING.items()}
+    hits = dict.fromkeys(TELLING, 0)
+    for word in WORDS.findall(paragraph.lower()):
+        for name in TOLD.get(word, ()):
+            hits[name] += 1
     most = max(hits.values())
     if not most:
         return (label,) if label in TELLING else tuple(TELLING)
@@ -188,12 +195,14 @@ def enclosures(paragraph: str) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def decided(paragraph: str, at: int, mark: int, where: str, tables: list[Table]) -> bool:
-    """Whether the sentence ends at a position; ``mark`` is where the candidate's marks begin."""
-    word: str | None = None
-    if at == mark + 1 and paragraph[mark] == ".":
-        found = ABBREVIATED.search(paragraph, max(0, mark - 20), at)
-        word = found[0] if found and found.end() == mark else None
+def abbreviated(paragraph: str, mark: int) -> str | None:
+    """The word before the single dot at ``mark``, dots within it included; None if there is none."""
+    found = ABBREVIATED.search(paragraph, max(0, mark - 20), mark + 1)
+    return found[0] if found and found.end() == mark else None
+
+
+def decided(paragraph: str, at: int, word: str | None, where: str, tables: list[Table]) -> bool:
+    """Whether the sentence ends at a position, ``word`` being what stands before its only dot."""
     for act, anywhere, placed, words in tables:
         if anywhere is not None and anywhere.match(paragraph, at) or where in placed and placed[where].match(paragraph, at) or word in words and words[word].match(paragraph, at):
             return act
@@ -202,20 +211,27 @@ def decided(paragraph: str, at: int, mark: int, where: str, tables: list[Table])
 
 def boundaries(paragraph: str, label: str) -> list[int]:
     """The positions in a paragraph after which a new sentence begins."""
-    tables, cuts, start = None, [], 0
+    plain, own, cuts, start = cascade(()), (), [], 0
     starts, ends = enclosures(paragraph)
     for found in CANDIDATE.finditer(paragraph):
-        where, at = "", found.end()
+        mark, at = found.span()
         if at == len(paragraph):
             break
-        k = bisect_right(starts, found.start()) - 1
-        if k >= 0 and ends[k] > found.start():
-            if at < ends[k]:
-                continue  # within a quotation or bracket
-            where = "inner" if paragraph[start : starts[k]].strip() else "led"
-        if tables is None:
-            tables = cascade(languages_of(paragraph, label))
-        if decided(paragraph, at, found.start(), where, tables):
+        where = ""
+        if starts:
+            k = bisect_right(starts, mark) - 1
+            if k >= 0 and ends[k] > mark:
+                if at < ends[k]:
+                    continue  # within a quotation or bracket
+                where = "inner" if paragraph[start : starts[k]].strip() else "led"
+        word, tables = None, plain
+        if at == mark + 1 and paragraph[mark] == ".":
+            word = abbreviated(paragraph, mark)
+            single = word is not None and len(word) == 1
+            if single or word in ASKED:
+                own = own or languages_of(paragraph, label)
+                tables = cascade(own, single)
+        if decided(paragraph, at, word, where, tables):
             cuts.append(at)
             start = at
     gaps = [g.start() for g in THAI_GAP.finditer(paragraph)]

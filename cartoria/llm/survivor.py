@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartoria.functions.lineage import cut
+from cartoria.operators.skew import small
 from cartoria.sources.tables import table
 
-SMALL_TABLE = 10_000
 # Remarks that stand for an unknown address.
 NO_ADDRESS = ["", "-", "?", "n/i", "a confirmar", "sem endereço", "sem endereco", "não informado", "nao informado", "não consta", "nao consta"]
 
@@ -50,9 +50,7 @@ def observations(spark: SparkSession, directory: str) -> DataFrame:
         "pos", "fonte", own_id().alias("id_fonte"), "fonte_detalhe", "telefone", "rating", "reviews", "endereco", "coletado_em"
     ).filter(F.col("id_fonte").isNotNull())
     channels = table(spark, directory, "canais_coleta").groupBy("fonte_detalhe").agg(F.max("confianca").alias("confianca"))
-    if channels.limit(SMALL_TABLE + 1).count() <= SMALL_TABLE:
-        channels = F.broadcast(channels)
-    return rows.join(channels, "fonte_detalhe", "left").select(
+    return rows.join(small(channels), "fonte_detalhe", "left").select(
         "pos", "fonte", "id_fonte", "fonte_detalhe", "telefone", "rating", "reviews", "endereco",
         F.coalesce("confianca", F.lit(0)).alias("confianca"),
         F.coalesce(F.col("coletado_em").cast("timestamp_ntz"), F.expr("timestamp_ntz'0001-01-01'")).alias("quando"),
@@ -89,47 +87,49 @@ def p2_found(spark: SparkSession, directory: str) -> DataFrame:
     })
 
 
-def truth_discovery(claims: DataFrame, source: str = "source", rounds: int = 20, tolerance: float = 1e-4) -> DataFrame:
+def truth_discovery(claims: DataFrame, source: str = "source", trust: str | None = None, tolerance: float = 1e-3, most: int = 200) -> DataFrame:
     """The best supported value of each item: ``item, value, support, confidence``.
 
     ``claims`` has one row for each claim: ``item`` (an object's field), ``value`` and ``source``; claims without an item
     or a value are left out, a null source votes as the source ''. Equal claims are counted first, so an item
-    with very many rows shrinks before any shuffle. Each round
+    with very many rows shrinks before any shuffle. Sources begin with the reliability in the column ``trust``, between 0 and 1, or with 0.8. Each round
     (1) gives a value the sum of its sources' votes, a vote being the log-odds of the source's reliability, and a share of belief
     in proportion to the exponential of that sum, and
-    (2) sets a source's reliability to the mean share of its claims, smoothed by one claim of 0.5,
-    until no reliability moves by more than ``tolerance`` or ``rounds`` are over. Ties go to the smaller value.
+    (2) sets a source's reliability halfway to the mean share of its claims, smoothed by one claim of 0.5,
+    until no reliability moves by more than ``tolerance``; raises if ``most`` rounds don't bring that about. Ties go to the smaller value.
     Reliabilities stay a table; only the largest change is read by the driver.
     """
-    counted = claims.filter(F.col("item").isNotNull() & F.col("value").isNotNull()).groupBy("item", "value", F.coalesce(F.col(source), F.lit("")).alias("s")).agg(F.count("*").alias("n"))
+    prior = F.col(trust) if trust else F.lit(0.8)
+    counted = claims.filter(F.col("item").isNotNull() & F.col("value").isNotNull()).groupBy("item", "value", F.coalesce(F.col(source), F.lit("")).alias("s")).agg(F.count("*").alias("n"), F.max(prior).alias("w"))
     counted = cut(counted.repartition("item"))
-    weights = cut(counted.select("s").distinct().withColumn("w", F.lit(0.8)))
+    weights = cut(counted.groupBy("s").agg(F.max("w").alias("w")))
+    counted = counted.drop("w")
 
     def shares(weights: DataFrame) -> DataFrame:
         sure = F.least(F.greatest(F.col("w"), F.lit(0.05)), F.lit(0.99))
-        votes = counted.join(weights, "s").groupBy("item", "value").agg(F.sum(F.log(sure / (1 - sure))).alias("support"))
+        votes = counted.join(small(weights), "s").groupBy("item", "value").agg(F.sum(F.log(sure / (1 - sure))).alias("support"))
         most = votes.groupBy("item").agg(F.max("support").alias("most"))
         belief = votes.join(most, "item").withColumn("belief", F.exp(F.col("support") - F.col("most")))
         totals = belief.groupBy("item").agg(F.sum("belief").alias("total"))
         return belief.join(totals, "item").withColumn("share", F.col("belief") / F.col("total"))
 
-    for _ in range(rounds):
+    for _ in range(most):
         told = counted.join(shares(weights).select("item", "value", "share"), ["item", "value"])
         sums = told.groupBy("s").agg(F.sum(F.col("n") * F.col("share")).alias("got"), F.sum("n").alias("of"))
-        following = cut(sums.select("s", ((F.col("got") + 0.5) / (F.col("of") + 1)).alias("w")))
-        moved = following.join(weights.withColumnRenamed("w", "before"), "s").agg(F.max(F.abs(F.col("w") - F.col("before")))).first()[0]
-        weights = following
+        following = cut(sums.join(weights, "s").select("s", ((F.col("w") + (F.col("got") + 0.5) / (F.col("of") + 1)) / 2).alias("w"), F.col("w").alias("before")))
+        moved = following.agg(F.max(F.abs(F.col("w") - F.col("before")))).first()[0]
+        weights = following.select("s", "w")
         if moved is None or moved <= tolerance:
             break
+    else:
+        raise RuntimeError("reliabilities did not settle")
     final = cut(shares(weights).select("item", "value", "support", "share"))
     top = final.groupBy("item").agg(F.max("support").alias("support"))
     return final.join(top, ["item", "support"]).groupBy("item").agg(F.min("value").alias("value"), F.max("support").alias("support"), F.max("share").alias("confidence"))
 
 
-def p2_truth(spark: SparkSession, directory: str) -> DataFrame:
-    """For each source id with several rows and each field: the value that truth discovery supports most."""
-    rows = observations(spark, directory)
-    several = rows.groupBy("fonte", "id_fonte").count().filter(F.col("count") > 1).select("fonte", "id_fonte")
+def field_values(rows: DataFrame) -> DataFrame:
+    """``fonte, id_fonte, pos, fonte_detalhe, confianca, campo, value``: the usable values of each observation in a form in which equal ones are equal."""
     values = {
         "telefone": (F.col("tem_telefone"), phone_digits(F.col("telefone"))),
         "rating": (F.col("tem_rating"), F.format_number("rating", 1)),
@@ -137,14 +137,30 @@ def p2_truth(spark: SparkSession, directory: str) -> DataFrame:
         "endereco": (F.col("tem_endereco"), F.regexp_replace(F.lower("endereco"), r"[^\p{L}\p{M}\p{N}]+", " ")),
     }
     fields = F.array(*[F.struct(F.lit(f).alias("campo"), F.when(ok, v).alias("value")) for f, (ok, v) in values.items()])
-    claims = rows.join(several, ["fonte", "id_fonte"]).select("fonte", "id_fonte", "fonte_detalhe", F.explode(fields).alias("c")).select(
-        F.when(F.col("c.value").isNotNull(), F.struct("fonte", "id_fonte", "c.campo")).alias("item"), F.col("c.value").alias("value"), F.col("fonte_detalhe").alias("source")
+    return rows.select("fonte", "id_fonte", "pos", "fonte_detalhe", "confianca", F.explode(fields).alias("c")).select("fonte", "id_fonte", "pos", "fonte_detalhe", "confianca", "c.*").filter(F.col("value").isNotNull())
+
+
+def p2_truth(spark: SparkSession, directory: str) -> DataFrame:
+    """For each source id with several rows and each field: the value that truth discovery supports most; channels begin with their trust."""
+    rows = observations(spark, directory)
+    several = rows.groupBy("fonte", "id_fonte").count().filter(F.col("count") > 1).select("fonte", "id_fonte")
+    claims = field_values(rows.join(several, ["fonte", "id_fonte"])).select(
+        F.struct("fonte", "id_fonte", "campo").alias("item"), "value", F.col("fonte_detalhe").alias("source"), (0.6 + 0.3 * F.col("confianca") / (F.col("confianca") + 1)).alias("trust")
     )
-    best = truth_discovery(claims)
+    best = truth_discovery(claims, trust="trust")
     return best.select("item.fonte", "item.id_fonte", "item.campo", F.col("value").alias("valor"), F.round("confidence", 6).alias("confianca"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_truth": p2_truth}
+def p2_agreement(spark: SparkSession, directory: str) -> DataFrame:
+    """``campo, itens, iguais``: of the fields for which p2_found names a row, how many get the same value from truth discovery."""
+    fields = ["telefone", "rating", "reviews", "endereco"]
+    chosen = p2_found(spark, directory).select("fonte", "id_fonte", F.explode(F.array(*[F.struct(F.lit(f).alias("campo"), F.col(f"pos_{f}").alias("pos")) for f in fields])).alias("c")).select("fonte", "id_fonte", "c.*")
+    values = field_values(observations(spark, directory)).select("pos", "campo", "value")
+    both = chosen.join(values, ["pos", "campo"]).join(p2_truth(spark, directory), ["fonte", "id_fonte", "campo"])
+    return both.groupBy("campo").agg(F.count("*").alias("itens"), F.count_if(F.col("value") == F.col("valor")).alias("iguais"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_truth": p2_truth, "p2_agreement": p2_agreement}
 
 SQL = {
     "p2_found": """

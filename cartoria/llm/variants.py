@@ -67,12 +67,11 @@ def band_values(words: list[str], towns: np.ndarray, rows: int, bands: int) -> n
 
 
 def end_values(words: str) -> list[str]:
-    """What two names that differ by one error share: a whole word and an end of another one, or half of an only word; and all letters."""
+    """What two names that differ by one error share: a whole word and an end of another one, or an end of an only word; and all letters."""
     ws = words.split()
     letters = "*" + "".join(sorted(words.replace(" ", "")))
     if len(ws) == 1:
-        half = max(len(words) // 2 - 1, 1)
-        return [letters, "<" + words[:half], ">" + words[-half:]]
+        return [letters, "<" + words[:3], ">" + words[-3:]]
     return [letters, *[f"{a} {end}" for i, a in enumerate(ws) for j, b in enumerate(ws) if i != j for end in ("<" + b[:2], ">" + b[-2:])]]
 
 
@@ -85,7 +84,7 @@ def initial_values(words: str, offered: bool) -> list[str]:
 def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True) -> DataFrame:  # noqa: ANN001 - a broadcast of bytes
     """``key, kind, value, two, common``: what readings can share; ``two`` tells that the name has two words.
 
-    Sought are bands by uncommon readings, ends by readings without a town, initials by readings that have some. Offered are bands by all
+    Sought are bands by uncommon readings, beside them the ends and letters of names of one word, ends by readings without a town, initials by readings that have some. Offered are bands by all
     and the others by readings that have a town and no initial. A ``sieve`` leaves out values that nobody seeks.
     Without ``banded`` there are no bands.
     """
@@ -104,11 +103,13 @@ def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True
                 who = np.arange(len(words)) if offered else np.flatnonzero(~common)
                 if banded and len(who):
                     parts.append((np.repeat(who, bands), BAND, band_values([words[i] for i in who], town[who], rows, bands).reshape(-1)))
+                single = np.array([i for i in who if " " not in words[i]], dtype=np.int64) if banded else who[:0]  # one error takes much of a short name's q-grams
                 for kind, who, texts in (
+                    (BAND, single, end_values),
                     (ENDS, np.flatnonzero(~initial & (~townless if offered else townless)), end_values),
                     (INITIAL, np.flatnonzero(~townless & (~initial if offered else initial)), lambda w: initial_values(w, offered)),
                 ):
-                    made = [hashed(texts(words[i]), int(town[i]) & 0xFFFFFFFF if kind == INITIAL else 0) for i in who]
+                    made = [hashed(texts(words[i]), int(town[i]) & 0xFFFFFFFF if kind != ENDS else 0) for i in who]
                     parts.append((np.repeat(who, [len(m) for m in made]), kind, np.array([v for m in made for v in m], dtype=np.uint64).view(np.int64)))
                 index, kinds, values = np.concatenate([p[0] for p in parts]), np.concatenate([np.full(len(p[0]), p[1], np.int8) for p in parts]), np.concatenate([p[2] for p in parts])
                 if kept is not None:
