@@ -36,13 +36,14 @@ def least_mean(x: Column, y: Column, weakest: float) -> Column:
     return F.when((F.array_min(there) >= weakest) & (F.array_min(back) >= weakest), F.least(mean(there), mean(back))).otherwise(F.lit(0.0))
 
 
-def joinings(words: Column) -> Column:
-    """Every way to run two words of a list together, in either order: lists of one word less."""
-    places = F.sequence(F.lit(0), F.size(words) - 1)
-    ways = F.flatten(F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j != i), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-    return F.transform(
-        ways, lambda w: F.concat(F.array(F.concat(F.get(words, w["i"]), F.get(words, w["j"]))), F.transform(F.filter(places, lambda k: (k != w["i"]) & (k != w["j"])), lambda k: F.get(words, k)))
-    )
+def joined_mean(more: Column, fewer: Column, weakest: float) -> Column:
+    """The best ``least_mean`` over every way to run two words of ``more`` together, in either order; only ways whose joined word has a match are followed."""
+    places = F.sequence(F.lit(0), F.size(more) - 1)
+    ways = F.flatten(F.transform(places, lambda i: F.transform(F.filter(places, lambda j: j != i), lambda j: F.struct(F.concat(F.get(more, i), F.get(more, j)).alias("joined"), i.alias("i"), j.alias("j")))))
+    near = lambda a, b: F.when(F.abs(F.length(a) - F.length(b)) <= (1 - weakest) * F.greatest(F.length(a), F.length(b)), word_similarity(a, b) >= weakest).otherwise(F.lit(False))
+    matched = F.filter(ways, lambda w: F.exists(fewer, lambda y: near(w["joined"], y)))
+    rest = lambda w: F.concat(F.array(w["joined"]), F.transform(F.filter(places, lambda k: (k != w["i"]) & (k != w["j"])), lambda k: F.get(more, k)))
+    return F.coalesce(F.array_max(F.transform(matched, lambda w: least_mean(rest(w), fewer, weakest))), F.lit(0.0))
 
 
 def two_by_two(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
@@ -58,10 +59,9 @@ def two_by_two(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
 def monge_elkan(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
     """Symmetric Monge-Elkan similarity of two names of any number of words: the smaller of both directions' means.
 
-    Every word must find one that is at least ``weakest`` alike. Where one name has a word more, each way to run two of its words
-    together counts too.
+    Every word must find one that is at least ``weakest`` alike. Where one name has a word more, the best way to run two of its words
+    together counts; names of other numbers of words are 0 alike.
     """
     x, y = F.split(a, " "), F.split(b, " ")
-    joined = lambda more, fewer: F.coalesce(F.array_max(F.transform(joinings(more), lambda w: least_mean(w, fewer, weakest))), F.lit(0.0))
-    n, m, plain = F.size(x), F.size(y), least_mean(x, y, weakest)
-    return F.when(n == m + 1, F.greatest(plain, joined(x, y))).when(m == n + 1, F.greatest(plain, joined(y, x))).otherwise(plain)
+    n, m = F.size(x), F.size(y)
+    return F.when(n == m, least_mean(x, y, weakest)).when(n == m + 1, joined_mean(x, y, weakest)).when(m == n + 1, joined_mean(y, x, weakest)).otherwise(F.lit(0.0))
