@@ -7,9 +7,15 @@ Neither ever compares all points with all points or all points with all edges.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cartoria.functions.lineage import cut
+from cartoria.operators.skew import blocked_join, small
+
+#: Rows of one point that go through a join as one block.
+BLOCK = 10_000
 EARTH_RADIUS_M = 6_371_000.0
 
 
@@ -86,17 +92,14 @@ def near_pairs(df: DataFrame, metres: float, id: str = "pos", lat: str = "lat",
     """All pairs of rows at most ``metres`` apart: ``id_a < id_b``, each once.
 
     Rows without a usable point take no part. Equal points are 0 m apart. The distance join runs over
-    distinct points (``near_classes``); rows come back by two equi-joins on the point.
+    distinct points (``near_classes``); rows come back by equi-joins on the point, in which a point with many rows is split into blocks.
     """
-    rows = valid_points(df, lat, lng).select(F.col(id).alias("id"), F.col(lat).alias("lat"), F.col(lng).alias("lng"))
-    pairs = near_classes(point_classes(rows), metres, **grid)
-    a = rows.select(F.col("id").alias("p"), F.col("lat").alias("lat_a"), F.col("lng").alias("lng_a"))
-    b = rows.select(F.col("id").alias("q"), F.col("lat").alias("lat_b"), F.col("lng").alias("lng_b"))
-    across = pairs.join(a, ["lat_a", "lng_a"]).join(b, ["lat_b", "lng_b"]).select(F.least("p", "q").alias("id_a"), F.greatest("p", "q").alias("id_b"))
-    same = (
-        a.join(b, (F.col("lat_a") == F.col("lat_b")) & (F.col("lng_a") == F.col("lng_b")) & (F.col("p") < F.col("q")))
-        .select(F.col("p").alias("id_a"), F.col("q").alias("id_b"))
-    )
+    rows = cut(valid_points(df, lat, lng).select(F.col(id).alias("id"), F.col(lat).alias("lat"), F.col(lng).alias("lng")))
+    pairs = cut(near_classes(point_classes(rows), metres, **grid))
+    side = lambda p, x: rows.select(F.col("id").alias(p), F.col("lat").alias(f"lat{x}"), F.col("lng").alias(f"lng{x}"))
+    half = blocked_join(side("p", "_a"), pairs, ["lat_a", "lng_a"], BLOCK)
+    across = blocked_join(side("q", "_b"), half, ["lat_b", "lng_b"], BLOCK).select(F.least("p", "q").alias("id_a"), F.greatest("p", "q").alias("id_b"))
+    same = blocked_join(side("p", ""), side("q", ""), ["lat", "lng"], BLOCK).filter(F.col("p") < F.col("q")).select(F.col("p").alias("id_a"), F.col("q").alias("id_b"))
     return across.unionByName(same)
 
 
@@ -104,46 +107,59 @@ NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 
 
 def polygon_edges(regions: DataFrame, id: str = "area_id", wkt: str = "contorno_wkt") -> DataFrame:
-    """Edges of WKT polygons: ``area, ring, x1, y1, x2, y2``; ring 0 is the outline, later ones are holes.
+    """Edges of WKT polygons and multipolygons: ``area, ring, x1, y1, x2, y2``; each ring in brackets is one, outlines and holes alike.
 
-    Null or unparsable text gives no edges. A ring that doesn't close is closed.
+    Of a vertex the first two numbers count, so heights and measures are left aside. Null or unparsable text gives no edges
+    (``unparsed_regions`` lists it). A ring that doesn't close is closed.
     """
-    rings = regions.filter(F.upper(F.trim(F.col(wkt))).startswith("POLYGON")).select(
+    rings = regions.filter(F.upper(F.trim(F.col(wkt))).rlike("^(MULTI)?POLYGON")).select(
         F.col(id).alias("area"), F.posexplode(F.regexp_extract_all(F.col(wkt), F.lit(r"\(([^()]+)\)"), F.lit(1))).alias("ring", "text")
     )
-    numbers = rings.select("area", "ring", F.regexp_extract_all("text", F.lit(f"({NUMBER})"), F.lit(1)).cast("array<double>").alias("v"))
-    points = numbers.filter(F.size("v") >= 6).select(
-        "area", "ring", F.transform(F.sequence(F.lit(0), F.floor(F.size("v") / 2).cast("int") - 1), lambda i: F.struct(F.get("v", i * 2).alias("x"), F.get("v", i * 2 + 1).alias("y"))).alias("p")
-    )
-    closed = points.withColumn("p", F.when(F.get("p", F.lit(0)) == F.element_at("p", -1), F.col("p")).otherwise(F.concat("p", F.slice("p", 1, 1))))
+    vertex = lambda t: F.regexp_extract_all(t, F.lit(f"({NUMBER})"), F.lit(1)).cast("array<double>")
+    points = rings.select("area", "ring", F.transform(F.split("text", ","), lambda t: F.struct(F.get(vertex(t), F.lit(0)).alias("x"), F.get(vertex(t), F.lit(1)).alias("y"))).alias("p"))
+    whole = points.filter((F.size("p") >= 3) & ~F.exists("p", lambda v: v["x"].isNull() | v["y"].isNull()))
+    closed = whole.withColumn("p", F.when(F.get("p", F.lit(0)) == F.element_at("p", -1), F.col("p")).otherwise(F.concat("p", F.slice("p", 1, 1))))
     edges = closed.select("area", "ring", F.explode(F.arrays_zip(F.slice("p", F.lit(1), F.size("p") - 1).alias("s"), F.slice("p", F.lit(2), F.size("p") - 1).alias("e"))).alias("d"))
     return edges.select("area", "ring", F.col("d.s.x").alias("x1"), F.col("d.s.y").alias("y1"), F.col("d.e.x").alias("x2"), F.col("d.e.y").alias("y2"))
 
 
+def unparsed_regions(regions: DataFrame, id: str = "area_id", wkt: str = "contorno_wkt") -> DataFrame:
+    """``area`` of the regions whose text gives no edge."""
+    return regions.select(F.col(id).alias("area")).join(polygon_edges(regions, id, wkt).select("area").distinct(), "area", "left_anti")
+
+
 def containing_regions(
     df: DataFrame, regions: DataFrame, id: str = "pos", lat: str = "lat", lng: str = "lng",
-    area: str = "area_id", wkt: str = "contorno_wkt", strip: float = 0.02, broadcast_edges: int = 200_000,
+    area: str = "area_id", wkt: str = "contorno_wkt", strip: float = 0.02, tile: float = 0.25, broadcast_edges: int = 200_000,
 ) -> DataFrame:
     """Rows inside regions: ``id``, ``area``; a row may lie in several regions or in none.
 
-    Crossing parity: edges are cut into strips of latitude, points meet the edges of their own strip,
+    Crossing parity: edges are cut into strips of latitude, distinct points meet the edges of their own strip,
     and an odd number of edges crossed by the eastward ray means inside. Holes take part in the parity.
+    An edge stands in the tiles of longitude from its region's western end to its own eastern end, so the points of one
+    tile meet all edges east of them of the regions that reach so far west, and a strip isn't one task.
     An edge counts from its lower end (inclusive) to its upper end (exclusive), so a ray through a corner is
     counted once and horizontal edges never. A point exactly on an outline or on the rim of a hole
     belongs to the region. Edges are straight in degrees.
-    The strips' edges are broadcast only if a count shows at most ``broadcast_edges`` of them; more are joined by shuffle.
+    The strips' edges are broadcast only if a count shows at most ``broadcast_edges`` of them; more are joined by shuffle. A point's rows, however many,
+    come back by a join that splits them. Regions that can't be parsed are reported by a warning.
     """
+    bad = [r["area"] for r in unparsed_regions(regions, area, wkt).limit(11).collect()]
+    if bad:
+        warnings.warn(f"regions without a polygon are left out: {bad[:10]}{' and more' if len(bad) > 10 else ''}", stacklevel=2)
     edges = polygon_edges(regions, area, wkt)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    strips = edges.withColumn("strip", F.explode(F.sequence(F.floor(low / strip), F.floor(high / strip)))).withColumn("east", F.greatest("x1", "x2"))
-    if strips.limit(broadcast_edges + 1).count() <= broadcast_edges:
-        strips = F.broadcast(strips)
-    points = valid_points(df, lat, lng).select(F.col(id).alias("id"), F.col(lat).alias("py"), F.col(lng).alias("px"), F.floor(F.col(lat) / strip).alias("strip"))
-    met = points.join(strips, "strip").filter(F.col("py").between(F.least("y1", "y2"), F.greatest("y1", "y2")) & (F.col("px") <= F.col("east")))
+    west_end = edges.groupBy("area").agg(F.min(F.least("x1", "x2")).alias("west"))
+    low, high, east = F.least("y1", "y2"), F.greatest("y1", "y2"), F.greatest("x1", "x2")
+    cells = edges.join(west_end, "area").withColumns({"strip": F.explode(F.sequence(F.floor(low / strip), F.floor(high / strip))), "east": east})
+    strips = cells.withColumn("tile", F.explode(F.sequence(F.floor(F.col("west") / tile), F.floor(F.col("east") / tile)))).drop("west")
+    strips = small(strips, broadcast_edges)
+    rows = valid_points(df, lat, lng).select(F.col(id).alias("id"), F.col(lat).alias("py"), F.col(lng).alias("px"))
+    points = rows.select("py", "px").distinct().withColumns({"strip": F.floor(F.col("py") / strip), "tile": F.floor(F.col("px") / tile)})
+    met = points.join(strips, ["strip", "tile"]).filter(F.col("py").between(F.least("y1", "y2"), F.greatest("y1", "y2")) & (F.col("px") <= F.col("east")))
     side = (F.col("x2") - F.col("x1")) * (F.col("py") - F.col("y1")) - (F.col("px") - F.col("x1")) * (F.col("y2") - F.col("y1"))
     touches = (side == 0) & (F.col("px") >= F.least("x1", "x2"))
     spans = (F.least("y1", "y2") <= F.col("py")) & (F.col("py") < F.greatest("y1", "y2"))
     west = F.when(F.col("y2") > F.col("y1"), side > 0).otherwise(side < 0)
-    crossed = met.select("id", "area", F.when(spans & west, 1).otherwise(0).alias("cross"), touches.cast("int").alias("touch")).filter((F.col("cross") == 1) | (F.col("touch") == 1))
-    inside = crossed.groupBy("id", "area").agg(F.sum("cross").alias("n"), F.max("touch").alias("t")).filter((F.col("n") % 2 == 1) | (F.col("t") == 1))
-    return inside.select("id", "area")
+    crossed = met.select("py", "px", "area", F.when(spans & west, 1).otherwise(0).alias("cross"), touches.cast("int").alias("touch")).filter((F.col("cross") == 1) | (F.col("touch") == 1))
+    inside = crossed.groupBy("py", "px", "area").agg(F.sum("cross").alias("n"), F.max("touch").alias("t")).filter((F.col("n") % 2 == 1) | (F.col("t") == 1))
+    return blocked_join(rows, inside.select("py", "px", "area"), ["py", "px"], BLOCK).select("id", "area")

@@ -75,3 +75,30 @@ def test_open_ring_is_closed(spark):
     areas = spark.createDataFrame([(1, "POLYGON((0 0, 1 0, 1 1))")], "area_id long, contorno_wkt string")
     assert polygon_edges(areas).count() == 3
     assert containing_regions(spark.createDataFrame([], "pos long, lat double, lng double"), areas).count() == 0
+
+
+@pytest.mark.parametrize(
+    "wkt", ["POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0))", "POLYGON Z ((0 0 7, 4 0 7, 4 4 7, 0 4 7, 0 0 7))", "POLYGON M ((0 0 1, 4 0 2, 4 4 3, 0 4 4))", "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4, 0 0)), ((10 10, 12 10, 12 12, 10 10)))"]
+)
+def test_dimensions_and_parts(spark, wkt):
+    regions = spark.createDataFrame([(1, wkt)], "area_id long, contorno_wkt string")
+    points = spark.createDataFrame([(1, 2.0, 2.0), (2, 5.0, 2.0), (3, 10.5, 11.5), (4, 2.0, 2.0), (5, 2.0, -3.0)], "pos long, lat double, lng double")
+    got = {r["id"] for r in containing_regions(points, regions).collect()}
+    assert got - {3} == {1, 4} and (3 in got) == wkt.startswith("MULTI")
+
+
+def test_unparsed_regions_are_reported(spark):
+    regions = spark.createDataFrame([(1, "POINT (1 1)"), (2, None), (3, "POLYGON ((0 0, x y, 4 4))"), (4, "POLYGON ((0 0, 4 0, 4 4))")], "area_id long, contorno_wkt string")
+    points = spark.createDataFrame([(1, 1.0, 2.0)], "pos long, lat double, lng double")
+    with pytest.warns(UserWarning, match="left out"):
+        assert [(r["id"], r["area"]) for r in containing_regions(points, regions).collect()] == [(1, 4)]
+
+
+def test_a_hot_point_is_split(spark, monkeypatch):
+    from cartoria.operators import spatial
+
+    rows = [(i, 1.0, 1.0) for i in range(30)] + [(100 + i, 1.0001, 1.0) for i in range(3)]
+    df = spark.createDataFrame(rows, "pos long, lat double, lng double")
+    monkeypatch.setattr(spatial, "BLOCK", 4)
+    got = {(r["id_a"], r["id_b"]) for r in near_pairs(df, 50.0).collect()}
+    assert len(got) == near_pairs(df, 50.0).count() == 33 * 32 // 2
