@@ -62,11 +62,12 @@ def is_place(name: Column, places: list[str], chained: bool) -> Column:
 def scan_buckets(df: DataFrame, name: str, rules: RuleSet) -> DataFrame:
     """Adds ``bucket`` and ``razao`` in one pass; the order of the tests is the contract.
 
-    Protected names are 'real', then the first labelled rule makes a 'suspect', then a bare place does, and the rest is 'ambiguous'. Null and
-    empty names are in no bucket: both columns are null.
+    Protected names are 'real', then the first labelled rule makes a 'suspect', then a bare place does, and the rest is 'ambiguous'. Names are
+    tested without white space at their ends; null and blank ones are in no bucket: both columns are null.
     """
-    named = F.coalesce(F.col(name) != "", F.lit(False))
-    protected, label, place = contains_any(F.col(name), rules.protective), first_label(F.col(name), rules.labelled), is_place(F.col(name), rules.places, chained=True)
+    text = stripped(F.col(name))
+    named = F.coalesce(text != "", F.lit(False))
+    protected, label, place = contains_any(text, rules.protective), first_label(text, rules.labelled), is_place(text, rules.places, chained=True)
     bucket = F.when(~named, None).when(protected, "real").when(label.isNotNull() | place, "suspect").otherwise("ambiguous")
     reason = F.when(~named | protected, None).when(label.isNotNull(), label).when(place, rules.place_label).otherwise(rules.default_label)
     return df.withColumns({"bucket": bucket, "razao": reason})
@@ -81,9 +82,10 @@ def refine_ambiguous(df: DataFrame, name: str, keep: list[str], rules: RuleSet)
 def removal_reason(df: DataFrame, name: str, suspects: DataFrame, rules: RuleSet) -> DataFrame:
     """Adds ``remover`` and ``razao``: exact suspect (case counts, before any protection), protection, blocking term, bare place.
 
-    ``suspects`` has the names under ``name``; its doubles don't multiply rows. Null names are kept.
+    ``suspects`` has the names under ``name``; its doubles don't multiply rows. White space at the ends doesn't count. Null names are kept.
     """
-    marked = df.join(suspects.select(F.col(name).alias("_s")).filter(F.col("_s").isNotNull()).distinct().withColumn("_hit", F.lit(True)), F.col(name) == F.col("_s"), "left").drop("_s")
+    listed = suspects.select(stripped(F.col(name)).alias("_s")).filter(F.col("_s").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    marked = df.join(listed, stripped(F.col(name)) == F.col("_s"), "left").drop("_s")
     term = first_contained(F.col(name), rules.blocking)
     reason = (
         F.when(F.col("_hit"), "Suspeito exato")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cartoria.functions.text import stripped
+
 # What a decision can be.
 STATUSES = ["manter", "falso_positivo", "pendente"]
 
@@ -21,11 +23,22 @@ def upserted(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
     return latest_decisions(both, key, [F.col(order), F.col("_new")]).drop("_new")
 
 
-def valid_imports(log: DataFrame, known: DataFrame, key: str, status: str = "status_revisao", reason: str = "motivo_decisao") -> DataFrame:
-    """Rows with a known key and a status that exists; a false positive needs a reason, any other status loses its own."""
-    allowed = log.filter(F.col(status).isin(STATUSES)).join(known.select(key).distinct(), key, "left_semi").select(*log.columns)
-    stated = F.coalesce(F.trim(F.col(reason)) != "", F.lit(False))
-    return allowed.filter((F.col(status) != "falso_positivo") | stated).withColumn(reason, F.when(F.col(status) == "falso_positivo", F.col(reason)).otherwise(""))
+def valid_imports(log: DataFrame, known: DataFrame, key: str, status: str = "status_revisao") -> DataFrame:
+    """Rows with a known key and a status that exists; everything else about them is taken as it is."""
+    return log.filter(F.col(status).isin(STATUSES)).join(known.select(key).distinct(), key, "left_semi").select(*log.columns)
+
+
+def imported(stored: DataFrame, log: DataFrame, known: DataFrame, key: str, order: str) -> DataFrame:
+    """The store after a bulk upsert of the valid rows of ``log``, which carry ``origem`` 'CSV importado'; null reasons and remarks become ''."""
+    rows = valid_imports(log, known, key).withColumns({"motivo_decisao": F.coalesce("motivo_decisao", F.lit("")), "observacoes": F.coalesce("observacoes", F.lit("")), "origem": F.lit("CSV importado")})
+    return upserted(stored, rows, key, order)
+
+
+def writable(decisions: DataFrame, status: str = "status_revisao", reason: str = "motivo_decisao") -> DataFrame:
+    """What may be written as a reviewer's decision: a false positive needs a reason, any other status loses its own."""
+    stated = F.coalesce(stripped(F.col(reason)) != "", F.lit(False))
+    kept = decisions.filter(F.col(status).isin(STATUSES) & ((F.col(status) != "falso_positivo") | stated))
+    return kept.withColumn(reason, F.when(F.col(status) == "falso_positivo", stripped(F.col(reason))).otherwise(""))
 
 
 def overlaid_queue(queue: DataFrame, decisions: DataFrame, key: str, fields: list[str]) -> DataFrame:

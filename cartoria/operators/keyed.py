@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from cartoria.functions.lineage import cut
+
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row for each key, the last in ``order``; aggregated before the shuffle, so many copies of a key cost little."""
@@ -44,3 +46,15 @@ def split_by(df: DataFrame, flag: Column) -> tuple[DataFrame, DataFrame]:
     """Rows where ``flag`` is true and all the others, null included."""
     sure = F.coalesce(flag, F.lit(False))
     return df.filter(sure), df.filter(~sure)
+
+
+def globally_ranked(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
+    """``df`` with its place, from 1, in an order of all rows, which must be total.
+
+    Rows are spread by ranges of the order and numbered within each; what stands in the ranges before is added. No task sees more than its range.
+    """
+    ranged = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
+    before = counts.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))
+    placed = ranged.withColumn("_place", F.row_number().over(W.partitionBy("_range").orderBy(*order)))
+    return placed.join(F.broadcast(before), "_range").withColumn(rank, F.col("_place") + F.col("_before")).drop("_range", "_place", "_before")

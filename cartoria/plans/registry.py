@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cartoria.functions.geo import feature, geo_status, in_box
 from cartoria.functions.text import folded, stripped
 from cartoria.functions.values import first_truthy, number, rounded
-from cartoria.operators.audit import histogram, histogram_map, over_fixed, percentage
+from cartoria.operators.audit import histogram, histogram_map, over_fixed, percentage, reconciled
 from cartoria.operators.classify import with_nation
 from cartoria.operators.keyed import excluded, first_wins, overlaid, ranked_first, split_by
 from cartoria.sources.tables import table
@@ -37,9 +37,14 @@ def source_name() -> Column:
     return first_truthy(F.col("fonte"), default=F.lit("desconhecida"))
 
 
+def source_told() -> Column:
+    """Only null, an absent source, is the unknown one; '' is a source of its own in histograms."""
+    return F.coalesce("fonte", F.lit("desconhecida"))
+
+
 def source_histogram(spark: SparkSession, directory: str) -> DataFrame:
     mapped = F.count_if(in_box(F.col("lat"), F.col("lng")))
-    return registry(spark, directory).groupBy(source_name().alias("fonte")).agg(F.count("*").alias("n"), mapped.alias("mapeados"))
+    return registry(spark, directory).groupBy(source_told().alias("fonte")).agg(F.count("*").alias("n"), mapped.alias("mapeados"))
 
 
 def category_histogram(spark: SparkSession, directory: str) -> DataFrame:
@@ -90,21 +95,24 @@ def human_review_sample(spark: SparkSession, directory: str) -> DataFrame:
     return sample.select(
         "pos", source_name().alias("fonte"), first_truthy(F.col("ceao_id"), F.col("place_id"), F.col("osm_id"), F.col("sefaz_codigo"), default=F.col("pos").cast("string")).alias("id_fonte"),
         "nome", "nacao_original", F.to_json("nacao_componentes").alias("nacao_componentes"), "nacao_categoria", "metodo_classificacao",
-        F.lit("pendente").alias("status_revisao"), F.lit("").alias("decisao_revisor"), F.col("rank").cast("long").alias("rank"),
+        F.lit("pendente").alias("status_revisao"), F.lit("").alias("decisao_revisor"), F.lit("").alias("observacoes"), F.col("rank").cast("long").alias("rank"),
     )
 
 
 def audit_reconciliation(spark: SparkSession, directory: str) -> DataFrame:
-    """One row of counts that have to add up, all from one scan."""
+    """One row of counts that have to add up.
+
+    The primary source is ceao: its deliveries are what was extracted, its ids what is represented, and the version before had those ids that were collected with a point.
+    """
     rows = registry(spark, directory)
     box = in_box(F.col("lat"), F.col("lng"))
-    return rows.agg(
-        F.count("*").alias("consolidados"), F.count_if(box).alias("mapeados"), F.count_if(~box).alias("sem_mapa"),
-        F.count_if(F.col("fonte") == "ceao").alias("extraidos"), F.count_distinct(F.when(F.col("fonte") == "ceao", F.col("ceao_id"))).alias("ids_unicos"),
-        F.count_if((F.col("fonte") == "ceao") & F.col("ceao_id").isNull()).alias("sem_id"),
-        F.count_if(~F.col("fonte").eqNullSafe("ceao")).alias("complementares"),
-        F.count_distinct(F.when(F.col("fonte") == "ceao", F.col("nome"))).alias("nomes_unicos"),
-    )
+    primary = (F.col("fonte") == "ceao") & F.col("ceao_id").isNotNull()
+    counts = rows.agg(F.count("*").alias("total_registros"), F.count_if(box).alias("total_georreferenciados"), F.count_if(~F.col("fonte").eqNullSafe("ceao")).alias("complementares"))
+    before = rows.filter(primary & box).select("ceao_id").distinct()
+    now = rows.filter(primary).select("ceao_id")
+    sample = human_review_sample(spark, directory).agg(F.count("*").alias("amostra"))
+    ledger = table(spark, directory, "exclusoes_curadas").select(*[k.alias(f"k{i}") for i, k in enumerate(exclusion_keys()[1])]).distinct().agg(F.count("*").alias("exclusoes"))
+    return counts.crossJoin(reconciled(now, before, "ceao_id")).crossJoin(sample).crossJoin(ledger)  # one row each
 
 
 def before_after_by_source(spark: SparkSession, directory: str) -> DataFrame:
@@ -125,9 +133,9 @@ def rate_summary(spark: SparkSession, directory: str) -> DataFrame:
 
 def feature_geojson(spark: SparkSession, directory: str) -> DataFrame:
     """Mapped records as features; properties are all columns but the coordinates."""
-    rows = registry(spark, directory).filter(in_box(F.col("lat"), F.col("lng"))).select("pos", "fonte", "nome", "municipio", "lat", "lng")
-    made = rows.select("pos", feature(F.col("lat"), F.col("lng"), F.struct("fonte", "nome", "municipio")).alias("f"))
-    return made.select("pos", F.col("f.type").alias("tipo"), F.col("f.geometry.coordinates")[0].alias("x"), F.col("f.geometry.coordinates")[1].alias("y"), F.col("f.properties.nome").alias("nome"))
+    rows = registry(spark, directory).filter(in_box(F.col("lat"), F.col("lng")))
+    made = rows.select("pos", feature(F.col("lat"), F.col("lng"), F.struct(*[c for c in rows.columns if c not in ("lat", "lng")])).alias("f"))
+    return made.select("pos", F.col("f.type").alias("tipo"), F.col("f.geometry.coordinates")[0].alias("x"), F.col("f.geometry.coordinates")[1].alias("y"), F.col("f.properties.nome").alias("nome"), F.size(F.json_object_keys(F.to_json("f.properties", {"ignoreNullFields": "false"}))).alias("propriedades"))
 
 
 def provenance_array(spark: SparkSession, directory: str) -> DataFrame:
@@ -137,22 +145,22 @@ def provenance_array(spark: SparkSession, directory: str) -> DataFrame:
 
 def histogram_map_query(spark: SparkSession, directory: str) -> DataFrame:
     """The histogram by source as one map, read again entry by entry."""
-    counts = histogram(registry(spark, directory), source_name(), "fonte")
+    counts = histogram(registry(spark, directory), source_told(), "fonte")
     return histogram_map(counts, "fonte").select(F.posexplode(F.map_entries("histogram")).alias("ordem", "e")).select("ordem", F.col("e.key").alias("fonte"), F.col("e.value").alias("n"))
 
 
-def unknown_tail(spark: SparkSession, directory: str) -> DataFrame:
-    """Repeated deliveries: rows of one id beyond its first, with the first's position."""
-    rows = registry(spark, directory).filter(F.col("place_id").isNotNull()).select("place_id", "pos")
-    heads = rows.groupBy("place_id").agg(F.min("pos").alias("primeiro"), F.count("*").alias("n"))
-    return heads.filter(F.col("n") > 1)
+def source_dedupe_first(spark: SparkSession, directory: str) -> DataFrame:
+    """Repeated deliveries collapse to the first of each (source, id); rows without an id stay as they are."""
+    rows = registry(spark, directory).select("fonte", first_truthy(F.col("ceao_id"), F.col("place_id"), F.col("osm_id"), F.col("sefaz_codigo")).alias("id"), "pos", "nome")
+    once = first_wins(rows.filter(F.col("id") != ""), ["fonte", "id"], "pos")
+    return once.unionByName(rows.filter(F.col("id") == "")).select("pos", "fonte", "id", "nome")
 
 
 QUERIES = {
     "nation_classify": nation_classify, "bbox_filter": bbox_filter, "geo_status": geo_status_query, "source_histogram": source_histogram, "category_histogram": category_histogram,
     "exclusion_anti": exclusion_anti, "publish_slice": publish_slice, "previous_overlay": previous_overlay, "human_review_sample": human_review_sample,
     "audit_reconciliation": audit_reconciliation, "before_after_by_source": before_after_by_source, "rate_summary": rate_summary,
-    "feature_geojson": feature_geojson, "provenance_array": provenance_array, "histogram_map": histogram_map_query, "source_dedupe_first": unknown_tail,
+    "feature_geojson": feature_geojson, "provenance_array": provenance_array, "histogram_map": histogram_map_query, "source_dedupe_first": source_dedupe_first,
 }
 
 SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0B}]"
@@ -187,7 +195,7 @@ SQL = {
     "nation_classify": f"WITH {NATION_CTE} SELECT pos, nacao_original, nacao_categoria, metodo_classificacao, 0 AS componentes, NULL::VARCHAR AS nacao_primaria FROM c",
     "bbox_filter": f"SELECT pos, fonte, lat, lng FROM terreiros_all_sources_v2 WHERE {BOX}",
     "geo_status": f"SELECT pos, CASE WHEN {BOX} THEN 'in_bahia' ELSE 'out_of_bahia' END AS geo_status FROM terreiros_all_sources_v2",
-    "source_histogram": f"SELECT {UNKNOWN} AS fonte, count(*) AS n, count(*) FILTER ({BOX}) AS mapeados FROM terreiros_all_sources_v2 GROUP BY 1",
+    "source_histogram": f"SELECT coalesce(fonte, 'desconhecida') AS fonte, count(*) AS n, count(*) FILTER ({BOX}) AS mapeados FROM terreiros_all_sources_v2 GROUP BY 1",
     "category_histogram": f"WITH {NATION_CTE}, h AS (SELECT nacao_categoria AS categoria, count(*) AS n, min(pos) AS first FROM c GROUP BY 1) SELECT *, row_number() OVER (ORDER BY n DESC, first) AS rank FROM h",
     "exclusion_anti": f"WITH {ledger_sql("t.fonte = 'ceao' OR")} SELECT pos, fonte, nome FROM kept",
     "publish_slice": f"WITH {NATION_CTE}, {ledger_sql("t.fonte = 'ceao' OR")} SELECT nacao_categoria, count(*) AS registros, count(*) FILTER ({BOX}) AS mapeados, min(pos) AS primeiro FROM c WHERE pos IN (SELECT pos FROM kept) GROUP BY 1",
@@ -197,17 +205,21 @@ p AS (SELECT nome, arg_max({r: rating, v: reviews}, pos) AS s FROM terreiros_all
 SELECT ceao_id, m.s.n AS nome, coalesce(p.s.r, m.s.r) AS rating, coalesce(p.s.v, m.s.v)::DOUBLE AS reviews FROM m LEFT JOIN p ON m.s.n = p.nome""",
     "human_review_sample": f"""
 WITH {NATION_CTE}, r AS (SELECT *, row_number() OVER (PARTITION BY nacao_categoria ORDER BY pos) AS rank FROM c WHERE {BOX})
-SELECT pos, {UNKNOWN} AS fonte, {OWN_ID.format(", pos::VARCHAR")} AS id_fonte, nome, nacao_original, '[]' AS nacao_componentes, nacao_categoria, metodo_classificacao, 'pendente' AS status_revisao, '' AS decisao_revisor, rank FROM r WHERE rank <= 10""",
+SELECT pos, {UNKNOWN} AS fonte, {OWN_ID.format(", pos::VARCHAR")} AS id_fonte, nome, nacao_original, '[]' AS nacao_componentes, nacao_categoria, metodo_classificacao, 'pendente' AS status_revisao, '' AS decisao_revisor, '' AS observacoes, rank FROM r WHERE rank <= 10""",
     "audit_reconciliation": f"""
-SELECT count(*) AS consolidados, count(*) FILTER ({BOX}) AS mapeados, count(*) FILTER (NOT coalesce({BOX}, false)) AS sem_mapa, count(*) FILTER (fonte = 'ceao') AS extraidos,
-  count(DISTINCT ceao_id) FILTER (fonte = 'ceao') AS ids_unicos, count(*) FILTER (fonte = 'ceao' AND ceao_id IS NULL) AS sem_id, count(*) FILTER (fonte IS DISTINCT FROM 'ceao') AS complementares,
-  count(DISTINCT nome) FILTER (fonte = 'ceao') AS nomes_unicos FROM terreiros_all_sources_v2""",
+WITH {NATION_CTE}, p AS (SELECT * FROM terreiros_all_sources_v2 WHERE fonte = 'ceao' AND ceao_id IS NOT NULL), v1 AS (SELECT DISTINCT ceao_id FROM p WHERE {BOX}),
+s AS (SELECT row_number() OVER (PARTITION BY nacao_categoria ORDER BY pos) AS rank FROM c WHERE {BOX}),
+l AS (SELECT DISTINCT lower({strip_sql("coalesce(nome, '')")}) AS k, round(try_cast(latitude AS DOUBLE), 6) AS a, round(try_cast(longitude AS DOUBLE), 6) AS b FROM exclusoes_curadas)
+SELECT (SELECT count(*) FROM terreiros_all_sources_v2) AS total_registros, (SELECT count(*) FROM terreiros_all_sources_v2 WHERE {BOX}) AS total_georreferenciados,
+  (SELECT count(*) FROM terreiros_all_sources_v2 WHERE fonte IS DISTINCT FROM 'ceao') AS complementares, (SELECT count(*) FROM p) AS extraidos, (SELECT count(DISTINCT ceao_id) FROM p) AS ids_unicos,
+  (SELECT count(*) FROM v1) AS presentes_na_v1, (SELECT count(DISTINCT ceao_id) FROM p WHERE ceao_id NOT IN (SELECT ceao_id FROM v1)) AS adicionados_na_v2, (SELECT count(*) FROM v1 WHERE ceao_id NOT IN (SELECT ceao_id FROM p)) AS ausentes,
+  (SELECT count(*) FROM s WHERE rank <= 10) AS amostra, (SELECT count(*) FROM l) AS exclusoes""",
     "before_after_by_source": f"""
 WITH {ledger_sql("")}, f(ord, fonte) AS (VALUES (0, 'ceao'), (1, 'google'), (2, 'osm'), (3, 'sefaz'), (4, 'wikidata'), (5, '(vazio)'))
 SELECT ord, fonte, (SELECT count(*) FROM terreiros_all_sources_v2 t WHERE coalesce(nullif(t.fonte, ''), '(vazio)') = f.fonte) AS antes, (SELECT count(*) FROM kept t WHERE coalesce(nullif(t.fonte, ''), '(vazio)') = f.fonte) AS depois FROM f""",
     "rate_summary": f"SELECT {UNKNOWN} AS fonte, count(*) AS total, count(*) FILTER ({BOX}) AS parte, printf('%.1f%%', count(*) FILTER ({BOX}) * 100.0::DOUBLE / greatest(count(*), 1)) AS taxa FROM terreiros_all_sources_v2 GROUP BY 1",
-    "feature_geojson": f"SELECT pos, 'Feature' AS tipo, lng AS x, lat AS y, nome FROM terreiros_all_sources_v2 WHERE {BOX}",
+    "feature_geojson": f"SELECT pos, 'Feature' AS tipo, lng AS x, lat AS y, nome, (SELECT count(*) - 2 FROM (DESCRIBE terreiros_all_sources_v2))::INTEGER AS propriedades FROM terreiros_all_sources_v2 WHERE {BOX}",
     "provenance_array": f"SELECT pos, 1 AS n, {UNKNOWN} AS fonte, {OWN_ID.format(", ''")} AS id FROM terreiros_all_sources_v2",
-    "histogram_map": f"SELECT (row_number() OVER (ORDER BY fonte) - 1)::INTEGER AS ordem, fonte, n FROM (SELECT {UNKNOWN} AS fonte, count(*) AS n FROM terreiros_all_sources_v2 GROUP BY 1)",
-    "source_dedupe_first": "SELECT place_id, min(pos) AS primeiro, count(*) AS n FROM terreiros_all_sources_v2 WHERE place_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
+    "histogram_map": f"SELECT (row_number() OVER (ORDER BY fonte) - 1)::INTEGER AS ordem, fonte, n FROM (SELECT coalesce(fonte, 'desconhecida') AS fonte, count(*) AS n FROM terreiros_all_sources_v2 GROUP BY 1)",
+    "source_dedupe_first": f"""SELECT pos, fonte, id, nome FROM (SELECT pos, fonte, nome, {OWN_ID.format(", ''")} AS id, row_number() OVER (PARTITION BY fonte, {OWN_ID.format(", ''")} ORDER BY pos) AS n FROM terreiros_all_sources_v2) WHERE id = '' OR n = 1""",
 }

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartoria.functions.text import folded, html_escaped, stripped
 from cartoria.functions.values import number, rounded, rounded_exact
 from cartoria.operators.audit import percentage
-from cartoria.operators.decisions import latest_decisions, overlaid_queue, queue_filter, valid_imports
+from cartoria.operators.decisions import imported, latest_decisions, overlaid_queue, queue_filter, valid_imports, writable
 from cartoria.operators.entities import clusters, linked_pairs, match_pairs, merged_entities
-from cartoria.operators.keyed import last_wins
+from cartoria.functions.lineage import cut
+from cartoria.operators.keyed import globally_ranked, last_wins
+from cartoria.operators.skew import small
 from cartoria.sources.tables import table
 
 
+# What a suggestion says where its list gives no reason.
+REASONS = {"ambíguo": "Caso ambíguo da triagem automática", "possível falso positivo": "Possível falso positivo"}
+
+
 def queue(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "revisao_google")
 
@@ -45,8 +51,8 @@ def suggestion(spark: SparkSession, directory: str) -> DataFrame:
     rows = queue(spark, directory)
     key = [folded(stripped(F.coalesce("nome", F.lit("")))).alias("k"), rounded(F.col("latitude")).alias("a"), rounded(F.col("longitude")).alias("b")]
     earlier = rows.select(*key, "pos", "sugestao", "motivo_sugestao")
-    ambiguous = last_wins(earlier.filter(F.col("sugestao") == "ambíguo").select("k", "a", "b", "pos", F.col("motivo_sugestao").alias("m1")), ["k", "a", "b"], "pos").drop("pos")
-    possible = last_wins(earlier.filter(F.col("sugestao") == "possível falso positivo").select("k", "a", "b", "pos", F.col("motivo_sugestao").alias("m2")), ["k", "a", "b"], "pos").drop("pos")
+    ambiguous = last_wins(earlier.filter(F.col("sugestao") == "ambíguo").select("k", "a", "b", "pos", F.coalesce("motivo_sugestao", F.lit(REASONS["ambíguo"])).alias("m1")), ["k", "a", "b"], "pos").drop("pos")
+    possible = last_wins(earlier.filter(F.col("sugestao") == "possível falso positivo").select("k", "a", "b", "pos", F.coalesce("motivo_sugestao", F.lit(REASONS["possível falso positivo"])).alias("m2")), ["k", "a", "b"], "pos").drop("pos")
     listed = table(spark, directory, "exclusoes_curadas").select(folded(stripped(F.coalesce("nome", F.lit("")))).alias("k"), rounded(number(F.col("latitude"))).alias("a"), rounded(number(F.col("longitude"))).alias("b"), F.coalesce("motivo", F.lit("")).alias("m3"))
     ledger = listed.groupBy("k", "a", "b").agg(F.max("m3").alias("m3"))
     joined = rows.select("pos", "nome", *key).join(ambiguous, ["k", "a", "b"], "left").join(possible, ["k", "a", "b"], "left").join(ledger, ["k", "a", "b"], "left")
@@ -69,10 +75,64 @@ def review_queue(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def review_rank(spark: SparkSession, directory: str) -> DataFrame:
-    """Each row's place and its neighbours among the rows of its status and suggestion, by name."""
-    w = W.partitionBy("status_revisao", "sugestao").orderBy(folded(F.coalesce("nome", F.lit(""))), "pos")
-    rows = queue(spark, directory).select("pos", "nome", "sugestao", "status_revisao")
-    return rows.select("pos", F.row_number().over(w).cast("long").alias("lugar"), F.coalesce(F.lag("pos").over(w), F.lit(-1)).alias("anterior"), F.coalesce(F.lead("pos").over(w), F.lit(-1)).alias("proximo"))
+    """Each row's place and its neighbours among the rows of its status and suggestion, by name.
+
+    All rows are ranked at once by (status, suggestion, name), so a status that all rows have is no single task; neighbours are found by place.
+    """
+    rows = queue(spark, directory).select("pos", "status_revisao", "sugestao", folded(F.coalesce("nome", F.lit(""))).alias("k"))
+    ranked = cut(globally_ranked(rows, [F.col("status_revisao"), F.col("sugestao"), F.col("k"), F.col("pos")]).select("pos", "status_revisao", "sugestao", "rank"))
+    first = ranked.groupBy("status_revisao", "sugestao").agg((F.min("rank") - 1).alias("before"), F.max("rank").alias("last"))  # a row for each pair of values
+    group = (F.col("r.status_revisao").eqNullSafe(F.col("g.status_revisao"))) & (F.col("r.sugestao").eqNullSafe(F.col("g.sugestao")))
+    placed = ranked.alias("r").join(small(first).alias("g"), group).select("pos", "rank", "before", "last")
+    at = lambda name, shift: placed.select((F.col("rank") + shift).alias("rank"), F.col("pos").alias(name))
+    around = placed.join(at("anterior", 1), "rank", "left").join(at("proximo", -1), "rank", "left")
+    return around.select(
+        "pos", (F.col("rank") - F.col("before")).alias("lugar"), F.when(F.col("rank") > F.col("before") + 1, F.col("anterior")).otherwise(-1).alias("anterior"), F.when(F.col("rank") < F.col("last"), F.col("proximo")).otherwise(-1).alias("proximo")
+    )
+
+
+def review_queue_full(spark: SparkSession, directory: str) -> DataFrame:
+    """The queue as it is published, all eighteen columns, and the place of each row in its order: pending first, then by suggestion, then by name."""
+    rows = queue(spark, directory).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    told = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    base = rows.select(
+        "pos", stable_id(F.col("nome"), F.col("latitude"), F.col("longitude")).alias("review_id"), F.lit("google").alias("fonte"), told("endereco"), told("bairro"), told("telefone"), "rating", "reviews",
+        "latitude", "longitude", told("geo_status"), F.lit("").alias("observacoes"),
+    )
+    urls = review_urls(spark, directory).select("pos", F.col("mapa").alias("google_maps_url"), F.col("rua").alias("street_view_url"))
+    made = base.join(suggestion(spark, directory).withColumn("nome", F.coalesce("nome", F.lit(""))), "pos").join(urls, "pos")
+    return globally_ranked(made, queue_order(), "lugar")
+
+
+def decision_write(spark: SparkSession, directory: str) -> DataFrame:
+    """What a reviewer's decisions would write, by status."""
+    made = writable(decision_log(spark, directory))
+    return made.groupBy("status_revisao").agg(F.count("*").alias("n"), F.count_if(F.col("motivo_decisao") != "").alias("com_motivo"))
+
+
+def decision_import(spark: SparkSession, directory: str) -> DataFrame:
+    """The store after the whole log is imported into an empty one: by status and origin the decisions, and how many rows were imported for them."""
+    log = decision_log(spark, directory).withColumn("ordem", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(log_order())]))
+    known = queue(spark, directory)
+    store = imported(log.limit(0), log, known, "review_id", "ordem")
+    counts = valid_imports(log, known, "review_id").groupBy("status_revisao").agg(F.count("*").alias("importadas"))
+    return store.groupBy("status_revisao", "origem").agg(F.count("*").alias("n")).join(counts, "status_revisao")
+
+
+def decision_export(spark: SparkSession, directory: str) -> DataFrame:
+    """The eleven columns of the export: each row of the queue with its decision laid over it."""
+    return export_rows(spark, directory).drop("ordem")
+
+
+def export_rows(spark: SparkSession, directory: str) -> DataFrame:
+    latest = latest_decisions(decision_log(spark, directory), "review_id", log_order())
+    rows = queue(spark, directory).withColumn("revisado_em", F.lit(None).cast("string"))
+    over = overlaid_queue(rows, latest, "review_id", ["status_revisao", "motivo_decisao", "observacoes", "revisado_em"])
+    return over.select(F.col("pos").alias("ordem"), *EXPORT)
+
+
+# The columns of the export, in order.
+EXPORT = ["review_id", "nome", "endereco", "fonte", "latitude", "longitude", "sugestao", "status_revisao", "motivo_decisao", "observacoes", "revisado_em"]
 
 
 def review_summary(spark: SparkSession, directory: str) -> DataFrame:
@@ -120,7 +180,7 @@ def queue_filter_query(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def import_validate(spark: SparkSession, directory: str) -> DataFrame:
-    valid = valid_imports(decision_log(spark, directory), queue(spark, directory), "review_id")
+    valid = valid_imports(decision_log(spark, directory), queue(spark, directory), "review_id").withColumn("motivo_decisao", F.coalesce("motivo_decisao", F.lit("")))
     return valid.groupBy("status_revisao").agg(F.count("*").alias("n"), F.count_if(F.col("motivo_decisao") != "").alias("com_motivo"))
 
 
@@ -155,7 +215,7 @@ def entity_survivor(spark: SparkSession, directory: str) -> DataFrame:
 
 
 QUERIES = {
-    "review_id_hash": review_id_hash, "review_urls": review_urls, "review_queue": review_queue, "review_rank": review_rank, "review_summary": review_summary,
+    "review_id_hash": review_id_hash, "review_urls": review_urls, "review_queue": review_queue, "review_rank": review_rank, "review_queue_full": review_queue_full, "decision_write": decision_write, "decision_import": decision_import, "decision_export": decision_export, "review_summary": review_summary,
     "decision_latest": decision_latest, "decision_overlay": decision_overlay, "decision_stats": decision_stats, "queue_filter": queue_filter_query, "import_validate": import_validate,
     "html_escape": html_escape, "entity_match_pairs": entity_match_pairs, "entity_links": entity_links, "entity_clusters": entity_clusters, "entity_survivor": entity_survivor,
 }
@@ -173,16 +233,24 @@ near AS (SELECT least(a.pos, b.pos) AS a, greatest(a.pos, b.pos) AS b, 1 AS r FR
 same AS (SELECT m.p AS a, e.pos AS b, 2 AS r FROM e JOIN (SELECT n, min(pos) AS p FROM e WHERE length(n) > 5 GROUP BY n) m USING (n) WHERE e.pos <> m.p),
 pr AS (SELECT a, b, min(r) AS r FROM (SELECT * FROM near UNION ALL SELECT * FROM same) GROUP BY a, b)"""
 
+SUGGESTED = f"""q AS (SELECT *, {K} AS k, round(latitude, 6) AS a, round(longitude, 6) AS b FROM revisao_google),
+m1 AS (SELECT k, a, b, arg_max(coalesce(motivo_sugestao, 'Caso ambíguo da triagem automática'), pos) AS m FROM q WHERE sugestao = 'ambíguo' GROUP BY ALL), m2 AS (SELECT k, a, b, arg_max(coalesce(motivo_sugestao, 'Possível falso positivo'), pos) AS m FROM q WHERE sugestao = 'possível falso positivo' GROUP BY ALL),
+m3 AS (SELECT {K} AS k, round(try_cast(latitude AS DOUBLE), 6) AS a, round(try_cast(longitude AS DOUBLE), 6) AS b, max(coalesce(motivo, '')) AS m FROM exclusoes_curadas GROUP BY 1, 2, 3)"""
+SUGGEST = """SELECT pos, CASE WHEN m1.m IS NOT NULL THEN 'ambíguo' WHEN m2.m IS NOT NULL THEN 'possível falso positivo' ELSE 'sem sinal automático' END AS sugestao, coalesce(m1.m, m2.m, '') AS motivo_sugestao,
+  CASE WHEN m3.m IS NOT NULL THEN 'falso_positivo' ELSE 'pendente' END AS status_revisao, coalesce(m3.m, '') AS motivo_decisao
+FROM q LEFT JOIN m1 USING (k, a, b) LEFT JOIN m2 USING (k, a, b) LEFT JOIN m3 USING (k, a, b)"""
+
 SQL = {
     "review_id_hash": f"SELECT pos, id FROM (SELECT *, substr(sha256('google|' || {K} || '|' || printf('%.6f', latitude) || '|' || printf('%.6f', longitude)), 1, 16) AS id FROM revisao_google) WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
     "review_urls": "SELECT pos, 'https://mapa.example/busca/?api=1&query=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS mapa, 'https://mapa.example/rua?api=1&map_action=pano&viewpoint=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS rua FROM revisao_google WHERE latitude IS NOT NULL AND longitude IS NOT NULL",
-    "review_queue": f"""
-WITH q AS (SELECT *, {K} AS k, round(latitude, 6) AS a, round(longitude, 6) AS b FROM revisao_google),
-m1 AS (SELECT k, a, b, arg_max(motivo_sugestao, pos) AS m FROM q WHERE sugestao = 'ambíguo' GROUP BY ALL), m2 AS (SELECT k, a, b, arg_max(motivo_sugestao, pos) AS m FROM q WHERE sugestao = 'possível falso positivo' GROUP BY ALL),
-m3 AS (SELECT {K} AS k, round(try_cast(latitude AS DOUBLE), 6) AS a, round(try_cast(longitude AS DOUBLE), 6) AS b, max(coalesce(motivo, '')) AS m FROM exclusoes_curadas GROUP BY 1, 2, 3)
-SELECT pos, CASE WHEN m1.m IS NOT NULL THEN 'ambíguo' WHEN m2.m IS NOT NULL THEN 'possível falso positivo' ELSE 'sem sinal automático' END AS sugestao, coalesce(m1.m, m2.m, '') AS motivo_sugestao,
-  CASE WHEN m3.m IS NOT NULL THEN 'falso_positivo' ELSE 'pendente' END AS status_revisao, coalesce(m3.m, '') AS motivo_decisao
-FROM q LEFT JOIN m1 USING (k, a, b) LEFT JOIN m2 USING (k, a, b) LEFT JOIN m3 USING (k, a, b)""",
+    "review_queue": f"WITH {SUGGESTED} {SUGGEST}",
+    "review_queue_full": f"""
+WITH {SUGGESTED}, f AS ({SUGGEST}),
+r AS (SELECT q.*, f.sugestao AS s, f.motivo_sugestao AS ms, f.status_revisao AS st, f.motivo_decisao AS md FROM q JOIN f USING (pos) WHERE latitude IS NOT NULL AND longitude IS NOT NULL)
+SELECT pos, substr(sha256('google|' || {K} || '|' || printf('%.6f', latitude) || '|' || printf('%.6f', longitude)), 1, 16) AS review_id, 'google' AS fonte, coalesce(nome, '') AS nome, coalesce(endereco, '') AS endereco, coalesce(bairro, '') AS bairro,
+  coalesce(telefone, '') AS telefone, rating, reviews, latitude, longitude, coalesce(geo_status, '') AS geo_status, s AS sugestao, ms AS motivo_sugestao, st AS status_revisao, md AS motivo_decisao, '' AS observacoes,
+  'https://mapa.example/busca/?api=1&query=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS google_maps_url, 'https://mapa.example/rua?api=1&map_action=pano&viewpoint=' || latitude::VARCHAR || '%2C' || longitude::VARCHAR AS street_view_url,
+  row_number() OVER (ORDER BY (st <> 'pendente')::INT, CASE s WHEN 'ambíguo' THEN 0 WHEN 'possível falso positivo' THEN 1 ELSE 2 END, lower(coalesce(nome, '')), pos) AS lugar FROM r""",
     "review_rank": """
 SELECT pos, row_number() OVER w AS lugar, coalesce(lag(pos) OVER w, -1) AS anterior, coalesce(lead(pos) OVER w, -1) AS proximo FROM revisao_google
 WINDOW w AS (PARTITION BY status_revisao, sugestao ORDER BY lower(coalesce(nome, '')), pos)""",
@@ -193,9 +261,19 @@ WINDOW w AS (PARTITION BY status_revisao, sugestao ORDER BY lower(coalesce(nome,
   printf('%.1f%%', count(*) FILTER (status_revisao <> 'pendente') * 100.0::DOUBLE / greatest(count(*), 1)) AS progresso FROM o""",
     "queue_filter": "SELECT pos, nome FROM revisao_google WHERE contains(lower(concat_ws(' ', nome, endereco, bairro)), 'rua') AND status_revisao = 'pendente' AND sugestao = 'ambíguo'",
     "import_validate": """
-WITH v AS (SELECT status_revisao, CASE WHEN status_revisao = 'falso_positivo' THEN motivo_decisao ELSE '' END AS m FROM decisoes_revisao
-  WHERE review_id IN (SELECT review_id FROM revisao_google) AND status_revisao IN ('manter', 'falso_positivo', 'pendente') AND (status_revisao <> 'falso_positivo' OR coalesce(trim(motivo_decisao), '') <> ''))
+WITH v AS (SELECT status_revisao, coalesce(motivo_decisao, '') AS m FROM decisoes_revisao WHERE review_id IN (SELECT review_id FROM revisao_google) AND status_revisao IN ('manter', 'falso_positivo', 'pendente'))
 SELECT status_revisao, count(*) AS n, count(*) FILTER (m <> '') AS com_motivo FROM v GROUP BY 1""",
+    "decision_write": f"""
+WITH v AS (SELECT status_revisao, CASE WHEN status_revisao = 'falso_positivo' THEN coalesce({strip_sql('motivo_decisao')}, '') ELSE '' END AS m FROM decisoes_revisao WHERE status_revisao IN ('manter', 'falso_positivo', 'pendente'))
+SELECT status_revisao, count(*) AS n, count(*) FILTER (m <> '') AS com_motivo FROM v WHERE status_revisao <> 'falso_positivo' OR m <> '' GROUP BY 1""",
+    "decision_import": """
+WITH v AS (SELECT * FROM decisoes_revisao WHERE review_id IN (SELECT review_id FROM revisao_google) AND status_revisao IN ('manter', 'falso_positivo', 'pendente')),
+h AS (SELECT review_id, max({a: coalesce(revisado_em, ''), b: recebido_em, c: status_revisao, d: coalesce(motivo_decisao, '')}).c AS s FROM v GROUP BY 1)
+SELECT s AS status_revisao, 'CSV importado' AS origem, count(*) AS n, (SELECT count(*) FROM v WHERE v.status_revisao = h.s) AS importadas FROM h GROUP BY s""",
+    "decision_export": """
+WITH h AS (SELECT review_id, max({a: coalesce(revisado_em, ''), b: recebido_em, c: status_revisao, d: coalesce(motivo_decisao, ''), m: motivo_decisao, o: observacoes, r: revisado_em}) AS m FROM decisoes_revisao WHERE review_id IS NOT NULL GROUP BY 1)
+SELECT q.review_id, nome, endereco, fonte, latitude, longitude, sugestao, coalesce(h.m.c, status_revisao) AS status_revisao, coalesce(h.m.m, motivo_decisao) AS motivo_decisao, coalesce(h.m.o, observacoes) AS observacoes, h.m.r AS revisado_em
+FROM revisao_google q LEFT JOIN h USING (review_id)""",
     "html_escape": """SELECT pos, replace(replace(replace(replace(replace('<a title="''' || coalesce(nome, '') || '''">&', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS html FROM revisao_google""",
     "entity_match_pairs": f"WITH {PAIRS} SELECT pr.a, pr.b, CASE r WHEN 1 THEN 'distancia' ELSE 'nome' END AS regra FROM pr JOIN e x ON x.pos = pr.a JOIN e y ON y.pos = pr.b WHERE x.fonte IS DISTINCT FROM y.fonte",
 }

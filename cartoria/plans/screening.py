@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartoria.functions.text import contains_any, first_label, valid_rules
+from cartoria.functions.text import contains_any, first_label, stripped, valid_rules
 from cartoria.operators.audit import percentage
 from cartoria.operators.classify import RuleSet, is_place, refine_ambiguous, removal_reason, scan_buckets
 from cartoria.plans.rules import BLOCKING, BROKEN, KEEP, LABELLED, PLACES, PROTECTIVE, RULES
@@ -61,7 +61,7 @@ def refine_query(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def suspects(spark: SparkSession, directory: str) -> DataFrame:
-    return scan_buckets(google_names(spark, directory), "nome", RULES).filter(F.col("bucket") == "suspect").select("nome")
+    return scan_buckets(google_names(spark, directory), "nome", RULES).filter(F.col("bucket") == "suspect").select(stripped(F.col("nome")).alias("nome"))
 
 
 def remover_labels(spark: SparkSession, directory: str) -> DataFrame:
@@ -74,7 +74,7 @@ def removal_propagation(spark: SparkSession, directory: str) -> DataFrame:
     """What stays when the suspects' names are removed from two sources: by name alone, so namesakes go too."""
     gone = suspects(spark, directory).distinct()
     rows = names(spark, directory)
-    reached = rows.filter(F.col("fonte").isin("google", "osm")).join(gone, "nome", "left_anti")
+    reached = rows.filter(F.col("fonte").isin("google", "osm")).join(gone.withColumnRenamed("nome", "_gone"), stripped(F.col("nome")) == F.col("_gone"), "left_anti")
     return reached.unionByName(rows.filter(~F.coalesce(F.col("fonte").isin("google", "osm"), F.lit(False))), allowMissingColumns=True).select("pos", "fonte", "nome")
 
 
@@ -84,6 +84,9 @@ QUERIES = {
 }
 
 
+from cartoria.plans.registry import strip_sql  # noqa: E402
+
+
 def quoted(words: list[str]) -> str:
     return ", ".join("'" + w.lower().replace("'", "''") + "'" for w in words)
 
@@ -106,7 +109,7 @@ def place_sql(x: str, chained: bool) -> str:
     return f"trim(lower({x})) IN ({quoted([p + e for p in PLACES for e in ('', ' ba', ' bahia', '-ba', ', bahia', ' ba.')])})"
 
 
-SCAN = f"""g AS (SELECT pos, fonte, nome FROM terreiros_all_sources_v2 WHERE fonte = 'google'),
+SCAN = f"""g AS (SELECT pos, fonte, {strip_sql('nome')} AS nome FROM terreiros_all_sources_v2 WHERE fonte = 'google'),
 x AS (SELECT *, coalesce(nome, '') <> '' AS named, {any_sql('nome', PROTECTIVE)} AS p, {label_sql('nome')} AS l, {place_sql('nome', True)} AS m FROM g),
 s AS (SELECT pos, nome, CASE WHEN NOT named THEN NULL WHEN p THEN 'real' WHEN l IS NOT NULL OR m THEN 'suspect' ELSE 'ambiguous' END AS bucket,
   CASE WHEN NOT named OR p THEN NULL WHEN l IS NOT NULL THEN l WHEN m THEN 'Nome de município' ELSE 'Sem palavra-chave' END AS razao FROM x)"""
@@ -122,8 +125,8 @@ SQL = {
     "scan_ranking": f"WITH {SCAN} SELECT razao, count(*) AS n FROM s WHERE razao IS NOT NULL GROUP BY 1 ORDER BY n DESC, razao LIMIT 20",
     "refine_ambiguous": f"""WITH {SCAN} SELECT pos, CASE WHEN {any_sql('nome', KEEP)} THEN 'manter' ELSE 'remover' END AS decisao,
   CASE WHEN {any_sql('nome', KEEP)} THEN NULL ELSE coalesce({label_sql('nome')}, 'Não religioso (padrão)') END AS razao FROM s WHERE bucket = 'ambiguous'""",
-    "remover_labels": f"""WITH {SCAN}, r AS (SELECT pos, CASE WHEN nome IN (SELECT nome FROM s WHERE bucket = 'suspect') THEN 'Suspeito exato' WHEN {any_sql('nome', PROTECTIVE[:4])} THEN NULL
+    "remover_labels": f"""WITH {SCAN}, r AS (SELECT pos, CASE WHEN {strip_sql('nome')} IN (SELECT nome FROM s WHERE bucket = 'suspect') THEN 'Suspeito exato' WHEN {any_sql('nome', PROTECTIVE[:4])} THEN NULL
   WHEN len(list_filter([{quoted(BLOCKING)}], lambda t: contains(lower(nome), t))) > 0 THEN 'KW: ' || list_filter([{quoted(BLOCKING)}], lambda t: contains(lower(nome), t))[1]
   WHEN {place_sql('nome', False)} THEN 'Nome de município' END AS razao FROM terreiros_all_sources_v2 WHERE nome IS NOT NULL) SELECT pos, razao IS NOT NULL AS remover, razao FROM r""",
-    "removal_propagation": f"WITH {SCAN} SELECT pos, fonte, nome FROM terreiros_all_sources_v2 t WHERE NOT (coalesce(fonte IN ('google', 'osm'), false) AND EXISTS (SELECT 1 FROM s WHERE bucket = 'suspect' AND s.nome = t.nome))",
+    "removal_propagation": f"WITH {SCAN} SELECT pos, fonte, nome FROM terreiros_all_sources_v2 t WHERE NOT (coalesce(fonte IN ('google', 'osm'), false) AND EXISTS (SELECT 1 FROM s WHERE bucket = 'suspect' AND s.nome = {strip_sql('t.nome')}))",
 }

@@ -20,6 +20,25 @@ from cartoria.operators.keyed import first_wins
 SCHEMA = "query int, idx int, type string, id bigint, lat double, lon double, tags map<string,string>"
 
 
+def area_query(area: str, tags: dict[str, str], kind: str = "node", timeout: int = 60) -> str:
+    """A query in the service's language that leaves the filtering to it: elements of one kind in one area whose tags match.
+
+    A value beginning with ``~`` is a pattern without case, any other is the exact value.
+    """
+    escaped = lambda v: v.replace("\\", "\\\\").replace('"', '\\"')
+    tests = "".join(f'["{escaped(k)}"~"{escaped(v[1:])}",i]' if v.startswith("~") else f'["{escaped(k)}"="{escaped(v)}"]' for k, v in tags.items())
+    return f'[out:json][timeout:{timeout}];area["ISO3166-2"="{escaped(area)}"]->.a;{kind}{tests}(area.a);out body;'
+
+
+def matching(elements: DataFrame, tags: dict[str, str], kind: str = "node") -> DataFrame:
+    """The same filter over elements that are already here, for sources that can't filter: kind, exact values, patterns without case."""
+    kept = elements.filter(F.col("type") == kind)
+    for key, value in tags.items():
+        tag = F.try_element_at("tags", F.lit(key))
+        kept = kept.filter(tag.rlike("(?iu)" + value[1:]) if value.startswith("~") else tag == value)
+    return kept
+
+
 class QueryPartition(InputPartition):
     def __init__(self, query: int, text: str):
         self.query, self.text = query, text
@@ -44,15 +63,19 @@ class ElementReader(DataSourceReader):
             return json.loads(answer.read().decode("utf-8"))
 
     def read(self, partition: QueryPartition) -> Iterator[tuple]:
-        """The elements of one query; after the last failed attempt the query has no rows, as the others go on."""
+        """The elements of one query; after the last failed attempt one row of type ``error`` tells why in its tags, and the others go on."""
         found: dict = {}
+        why = ""
         for attempt in range(self.attempts):
             try:
                 found = self.fetch(partition)
                 break
-            except (OSError, ValueError):
+            except (OSError, ValueError) as error:
+                why = f"{type(error).__name__}: {error}"
                 if attempt + 1 < self.attempts:
                     time.sleep(self.pause)
+        else:
+            yield partition.query, -1, "error", None, None, None, {"error": why, "attempts": str(self.attempts)}
         for i, e in enumerate(found.get("elements", [])):
             tags = {str(k): str(v) for k, v in (e.get("tags") or {}).items()}
             yield partition.query, i, e.get("type"), e.get("id"), e.get("lat"), e.get("lon"), tags
@@ -70,6 +93,11 @@ class ElementSource(DataSource):
         return ElementReader(dict(self.options))
 
 
+def failed_queries(elements: DataFrame) -> DataFrame:
+    """``query, error, attempts`` of the queries that got no answer."""
+    return elements.filter(F.col("type") == "error").select("query", F.col("tags")["error"].alias("error"), F.col("tags")["attempts"].cast("int").alias("attempts"))
+
+
 def named_elements(elements: DataFrame) -> DataFrame:
     """Named elements with a point other than 0, each (type, id) once, the first of all queries."""
     named = elements.filter(F.nullif(F.try_element_at("tags", F.lit("name")), F.lit("")).isNotNull())

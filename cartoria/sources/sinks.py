@@ -1,15 +1,18 @@
-"""Writing results as the small single documents that people and maps read. Large results stay Parquet."""
+"""Writing results as the single documents that people and maps read.
+
+The executors write the lines of a document, sorted, as the parts of a text; the driver only copies the parts one after another through a buffer, so a document of
+any length passes. A target is written beside its place and renamed, so that a reader sees the old document or the new one.
+"""
 
 from __future__ import annotations
 
 import json
 import os
-import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: A document is assembled on the driver; larger results are refused rather than collected.
-MOST_ROWS = 1_000_000
+from cartoria.functions.lineage import ensure_checkpoint_dir
 
 
 def version_dir(root: str, version: str) -> str:
@@ -19,44 +22,56 @@ def version_dir(root: str, version: str) -> str:
     return path
 
 
-def _replace(path: str, text: str) -> None:
-    """Writes beside the target and renames, so that a reader sees the old file or the new one."""
-    folder = os.path.dirname(os.path.abspath(path))
-    os.makedirs(folder, exist_ok=True)
-    handle, name = tempfile.mkstemp(dir=folder)
-    with os.fdopen(handle, "w", encoding="utf-8", newline="") as file:
-        file.write(text)
-    os.replace(name, path)
+def _file(spark: SparkSession, path: str):  # noqa: ANN202 - JVM objects
+    place = spark._jvm.org.apache.hadoop.fs.Path(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _document(lines: DataFrame, path: str, head: str, tail: str) -> int:
+    """Writes ``head``, the column ``line`` in the order of ``_o`` and ``tail``; the number of lines."""
+    spark = lines.sparkSession
+    parts = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    lines.orderBy("_o").select("line").write.text(parts)
+    target, files = _file(spark, path)
+    files.mkdirs(target.getParent())
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    source, shared = _file(spark, parts)
+    out = files.create(beside)
+    out.write(bytearray(head.encode("utf-8")))
+    for name in sorted(str(f.getPath()) for f in shared.listStatus(source)):
+        if "/part-" in name:
+            part, _ = _file(spark, name)
+            stream = shared.open(part)
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            stream.close()
+    out.write(bytearray(tail.encode("utf-8")))
+    out.close()
+    files.delete(target, False)
+    files.rename(beside, target)
+    return lines.count()
+
+
+def _objects(df: DataFrame, order: str, pretty: bool = False) -> DataFrame:
+    """``_o, line``: each row as JSON, nulls written, a comma before all but the first."""
+    made = F.to_json(F.struct(*[c for c in df.columns if c != order]), {"ignoreNullFields": "false", "pretty": str(pretty).lower()})
+    least = df.agg(F.min(order)).first()[0]
+    return df.select(F.col(order).alias("_o"), F.concat(F.when(F.col(order) == F.lit(least), "").otherwise(","), made).alias("line"))
 
 
-def _rows(df: DataFrame, order: str) -> list[str]:
-    """Each row as JSON, nulls written, in order; counted first."""
-    if df.limit(MOST_ROWS + 1).count() > MOST_ROWS:
-        raise ValueError("too many rows for a single document; write Parquet instead")
-    made = df.select(F.col(order).alias("_o"), F.to_json(F.struct(*[c for c in df.columns if c != order]), {"ignoreNullFields": "false"}).alias("j"))
-    return [r["j"] for r in made.orderBy("_o").collect()]
+def write_json(df: DataFrame, path: str, order: str, metadata: dict | None = None, key: str = "registros", pretty: bool = False) -> int:
+    """One document ``{metadata, key: [...]}`` in the given order, which must be unique; the number of records."""
+    about = json.dumps(metadata or {}, ensure_ascii=False, indent=2 if pretty else None, separators=None if pretty else (",", ":"))
+    return _document(_objects(df, order, pretty), path, '{"metadata":' + about + f',"{key}":[\n', "]}\n")
 
 
-def write_json(df: DataFrame, path: str, order: str, metadata: dict | None = None, key: str = "registros", pretty: bool = False) -> int:
-    """One document ``{metadata, key: [...]}`` in the given order; the number of records."""
-    rows = _rows(df, order)
-    if pretty:
-        text = json.dumps({"metadata": metadata or {}, key: [json.loads(r) for r in rows]}, ensure_ascii=False, indent=2)
-    else:
-        text = "{" + f'"metadata":{json.dumps(metadata or {}, ensure_ascii=False, separators=(",", ":"))},"{key}":[' + ",".join(rows) + "]}"
-    _replace(path, text)
-    return len(rows)
-
-
-def write_geojson(df: DataFrame, path: str, order: str, lat: str = "lat", lng: str = "lng") -> int:
-    """A compact FeatureCollection of points; all other columns are properties."""
+def write_geojson(df: DataFrame, path: str, order: str, lat: str = "lat", lng: str = "lng", pretty: bool = False) -> int:
+    """A FeatureCollection of points, compact or indented; all other columns are properties."""
     properties = [c for c in df.columns if c not in (order, lat, lng)]
     feature = F.struct(
         F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lng, lat).alias("coordinates")).alias("geometry"), F.struct(*properties).alias("properties")
     )
-    rows = _rows(df.select(F.col(order), feature.alias("f")).select(order, "f.*"), order)
-    _replace(path, '{"type":"FeatureCollection","features":[' + ",".join(rows) + "]}")
-    return len(rows)
+    rows = df.select(F.col(order), feature.alias("f")).select(order, "f.*")
+    return _document(_objects(rows, order, pretty), path, '{"type":"FeatureCollection","features":[\n', "]}\n")
 
 
 def csv_line(columns: list[Column]) -> Column:
@@ -68,11 +83,8 @@ def csv_line(columns: list[Column]) -> Column:
 def write_csv(df: DataFrame, path: str, order: str, bom: bool = False) -> int:
     """A CSV with a header and \\n at line ends; with no rows just the header."""
     columns = [c for c in df.columns if c != order]
-    if df.limit(MOST_ROWS + 1).count() > MOST_ROWS:
-        raise ValueError("too many rows for a single document; write Parquet instead")
-    lines = [r["l"] for r in df.select(F.col(order).alias("_o"), csv_line([F.col(c) for c in columns]).alias("l")).orderBy("_o").collect()]
-    _replace(path, ("﻿" if bom else "") + "\n".join([",".join(columns), *lines]) + "\n")
-    return len(lines)
+    lines = df.select(F.col(order).alias("_o"), csv_line([F.col(c) for c in columns]).alias("line"))
+    return _document(lines, path, ("\ufeff" if bom else "") + ",".join(columns) + "\n", "")
 
 
 def ranked_report(df: DataFrame, label: str, n: str, width: int = 70, top: int = 20) -> list[str]:
