@@ -63,12 +63,16 @@ def valid_rules(spark: SparkSession, rules: list[tuple[str, str]]) -> tuple[list
 
 
 def first_label(text: Column, rules: list[tuple[str, str]]) -> Column:
-    """The label of the first rule whose pattern is found in the lower-cased text; null if none."""
+    """The label of the first rule whose pattern is found in the lower-cased text; null if none. Any number of rules: they are tried a hundred to an expression."""
     lowered = F.lower(text)
-    out = F.lit(None).cast("string")
-    for label, pattern in reversed(rules):
-        out = F.when(lowered.rlike("(?U)" + pattern), F.lit(label)).otherwise(out)
-    return out
+    parts = []
+    for at in range(0, len(rules), 100):
+        chain = None
+        for label, pattern in rules[at : at + 100]:
+            found = lowered.rlike("(?U)" + pattern)
+            chain = F.when(found, F.lit(label)) if chain is None else chain.when(found, F.lit(label))
+        parts.append(chain)
+    return F.coalesce(*parts, F.lit(None).cast("string"))
 
 
 def html_escaped(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartoria.functions.lineage import cut
 from cartoria.operators.components import components
-from cartoria.operators.spatial import near_pairs
+from cartoria.operators.spatial import near_classes, valid_points
 
 
 def normal_name(name: Column) -> Column:
@@ -15,22 +15,6 @@ def normal_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
 
 
-def match_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5) -> DataFrame:
-    """``a, b, regra``: pairs of rows of different sources that are near, or carry one name.
-
-    ``df`` has ``pos, fonte, nome, lat, lng``. Equal names link in chains, each row to the smallest of its name, so that a name of n
-    rows gives n pairs. The nearest rule that applies is kept.
-    """
-    near = near_pairs(df, metres, max_abs_lat=max_abs_lat).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), F.lit(1).alias("r"))
-    named = df.select("pos", normal_name(F.col("nome")).alias("n")).filter(F.length("n") > 5)
-    heads = named.groupBy("n").agg(F.min("pos").alias("a"))
-    same = named.join(heads, "n").filter(F.col("pos") != F.col("a")).select("a", F.col("pos").alias("b"), F.lit(2).alias("r"))
-    source = df.select("pos", "fonte")
-    pairs = near.unionByName(same).groupBy("a", "b").agg(F.min("r").alias("r"))
-    crossing = pairs.join(source.select(F.col("pos").alias("a"), F.col("fonte").alias("fa")), "a").join(source.select(F.col("pos").alias("b"), F.col("fonte").alias("fb")), "b").filter(~F.col("fa").eqNullSafe(F.col("fb")))
-    return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").otherwise("nome").alias("regra"))
-
-
 def name_heads(named: DataFrame) -> DataFrame:
     """``n, h1, h2``: for each name its row of smallest pos and the one of smallest pos of another source, null where there is none.
 
@@ -63,34 +47,68 @@ def contained_names(names: DataFrame, letters: int = 6) -> DataFrame:
     return met.join(names_by("k", "l"), "k").join(names_by("ks", "s"), "ks").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
 
 
-def contained_links(named: DataFrame, heads: DataFrame) -> DataFrame:
-    """``p, q``: links between rows of different sources of which one's name holds the other's, enough for the components of all such pairs.
+def crossing_links(members: DataFrame, heads: DataFrame, met: DataFrame) -> DataFrame:
+    """``p, q``: links between rows of different sources of which one's class meets the other's, enough for the components of all such pairs.
 
-    The heads of both names are linked. The rows of a name that several sources carry are linked by that already; those of a name of one
-    source are each linked to one row of another name.
+    ``members`` has ``n`` (the class)``, pos, fonte``, ``met`` the pairs ``s, l`` of classes. The heads of both classes are linked. The rows of a class that several
+    sources carry are linked by that already (``same_name_links``); those of a class of one source are each linked to one row of another class.
     """
     side = lambda name, x: heads.select(F.col("n").alias(name), F.explode(F.array_compact(F.array("h1", "h2"))).alias(x), F.col("h2").isNull().alias(f"{x}_one"))
-    met = contained_names(named).join(side("s", "x"), "s").join(side("l", "y"), "l").filter(~F.col("x.fonte").eqNullSafe(F.col("y.fonte")))
-    met = cut(met.select("s", "l", F.col("x.pos").alias("p"), F.col("y.pos").alias("q"), "x_one", "y_one"))
-    one = met.filter("x_one").select(F.col("s").alias("n"), "q").unionByName(met.filter("y_one").select(F.col("l").alias("n"), F.col("p").alias("q"))).groupBy("n").agg(F.min("q").alias("q"))
-    return met.select("p", "q").unionByName(named.join(one, "n").select(F.col("pos").alias("p"), "q")).distinct()
+    ends = met.join(side("s", "x"), "s").join(side("l", "y"), "l").filter(~F.col("x.fonte").eqNullSafe(F.col("y.fonte")))
+    ends = cut(ends.select("s", "l", F.col("x.pos").alias("p"), F.col("y.pos").alias("q"), "x_one", "y_one"))
+    one = ends.filter("x_one").select(F.col("s").alias("n"), "q").unionByName(ends.filter("y_one").select(F.col("l").alias("n"), F.col("p").alias("q"))).groupBy("n").agg(F.min("q").alias("q"))
+    return ends.select("p", "q").unionByName(members.join(one, "n").select(F.col("pos").alias("p"), "q")).distinct()
+
+
+def entity_members(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two written tables ``n, pos, fonte``: the rows by their point and by their normalised name. Rows of unknown source are of one source."""
+    rows = df.select("pos", F.nullif(F.col("fonte"), F.lit("")).alias("fonte"), normal_name(F.col("nome")).alias("name"), "lat", "lng")
+    placed = cut(valid_points(rows).select(F.struct("lat", "lng").alias("n"), "pos", "fonte"))
+    return placed, cut(rows.filter(F.col("name") != "").select(F.col("name").alias("n"), "pos", "fonte"))
+
+
+def near_points(placed: DataFrame, metres: float, max_abs_lat: float) -> DataFrame:
+    """``s, l``: the pairs of different points at most so far apart."""
+    points = placed.select("n.lat", "n.lng").distinct()
+    pairs = near_classes(points, metres, max_abs_lat=max_abs_lat)
+    return pairs.select(F.struct(F.col("lat_a").alias("lat"), F.col("lng_a").alias("lng")).alias("s"), F.struct(F.col("lat_b").alias("lat"), F.col("lng_b").alias("lng")).alias("l"))
+
+
+def match_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5) -> DataFrame:
+    """``a, b, regra``: what ties rows of different sources, in the compact form of classes, each by its row of smallest ``pos``.
+
+    'ponto' and 'nome': ``b`` is a row of the class of ``a``, which several sources carry. 'distancia' and 'inclusao': two classes of which some rows are of different
+    sources, their points at most so far apart, or one's name of more than five characters within the other's.
+    """
+    placed, named = entity_members(df)
+
+    def members(rows: DataFrame, heads: DataFrame, rule: str) -> DataFrame:
+        shared = heads.filter(F.col("h2").isNotNull()).select("n", F.col("h1.pos").alias("a"))
+        return rows.join(shared, "n").filter(F.col("pos") != F.col("a")).select("a", F.col("pos").alias("b"), F.lit(rule).alias("regra"))
+
+    def classes(heads: DataFrame, met: DataFrame, rule: str) -> DataFrame:
+        side = lambda n, x: heads.select(F.col("n").alias(n), F.col("h1").alias(x), F.col("h2").isNull().alias(f"{x}1"))
+        both = met.join(side("s", "x"), "s").join(side("l", "y"), "l")
+        crossing = ~(F.col("x1") & F.col("y1") & F.col("x.fonte").eqNullSafe(F.col("y.fonte")))
+        return both.filter(crossing).select(F.least("x.pos", "y.pos").alias("a"), F.greatest("x.pos", "y.pos").alias("b"), F.lit(rule).alias("regra"))
+
+    points, names = cut(name_heads(placed)), cut(name_heads(named))
+    tied = members(placed, points, "ponto").unionByName(members(named, names, "nome"))
+    return tied.unionByName(classes(points, near_points(placed, metres, max_abs_lat), "distancia")).unionByName(classes(names, contained_names(named), "inclusao"))
 
 
 def linked_pairs(df: DataFrame, metres: float = 50.0, max_abs_lat: float = 18.5) -> DataFrame:
-    """``a, b, regra``: as ``match_pairs``, but with all that the rules tie and with rows of unknown source.
+    """``a, b, regra``: links between rows of different sources whose components are those of all pairs that the three rules tie.
 
-    A row is linked to the smallest rows of other sources that carry its name, whatever the name's length, so the components are those of all pairs of
-    different sources. Names of more than five characters are also linked to the names that hold them. Rows of unknown source are one source.
+    A row is linked to the smallest row of another source at its point and of its name, and classes of points or names are linked by few rows, so no
+    class is expanded into its pairs. The first rule that applies is kept.
     """
-    rows = df.select("pos", F.nullif(F.col("fonte"), F.lit("")).alias("fonte"), normal_name(F.col("nome")).alias("n"), "lat", "lng")
-    near = near_pairs(rows, metres, max_abs_lat=max_abs_lat).select(F.col("id_a").alias("p"), F.col("id_b").alias("q"), F.lit(1).alias("r"))
-    named = cut(rows.filter(F.col("n") != "").select("n", "pos", "fonte"))
-    heads = cut(name_heads(named))
-    links = near.unionByName(same_name_links(named, heads).withColumn("r", F.lit(2))).unionByName(contained_links(named, heads).withColumn("r", F.lit(3)))
+    placed, named = entity_members(df)
+    points, names = cut(name_heads(placed)), cut(name_heads(named))
+    near = same_name_links(placed, points).unionByName(crossing_links(placed, points, near_points(placed, metres, max_abs_lat))).withColumn("r", F.lit(1))
+    links = near.unionByName(same_name_links(named, names).withColumn("r", F.lit(2))).unionByName(crossing_links(named, names, contained_names(named)).withColumn("r", F.lit(3)))
     pairs = links.groupBy(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg(F.min("r").alias("r"))
-    source = rows.select("pos", "fonte")
-    crossing = pairs.join(source.select(F.col("pos").alias("a"), F.col("fonte").alias("fa")), "a").join(source.select(F.col("pos").alias("b"), F.col("fonte").alias("fb")), "b").filter(~F.col("fa").eqNullSafe(F.col("fb")))
-    return crossing.select("a", "b", F.when(F.col("r") == 1, "distancia").when(F.col("r") == 2, "nome").otherwise("inclusao").alias("regra"))
+    return pairs.select("a", "b", F.when(F.col("r") == 1, "distancia").when(F.col("r") == 2, "nome").otherwise("inclusao").alias("regra"))
 
 
 def clusters(pairs: DataFrame) -> DataFrame:

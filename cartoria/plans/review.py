@@ -193,9 +193,8 @@ def entity_rows(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def entity_match_pairs(spark: SparkSession, directory: str) -> DataFrame:
-    """Pairs of known, different sources within 50 m or of one name, with the rule that paired them: what the SQL lists. ``entity_links`` has all."""
-    rows = entity_rows(spark, directory).filter(F.col("fonte").isin("ceao", "google", "osm", "sefaz"))
-    return match_pairs(rows, max_abs_lat=85.0)
+    """What ties records of different sources: points, names, distance and inclusion, by classes."""
+    return match_pairs(entity_rows(spark, directory), max_abs_lat=85.0)
 
 
 def entity_links(spark: SparkSession, directory: str) -> DataFrame:
@@ -227,11 +226,13 @@ HOLDS = """h AS (SELECT review_id, max({a: coalesce(revisado_em, ''), b: recebid
 OVER = f"""{HOLDS}, o AS (SELECT q.pos, q.review_id, coalesce(h.m.c, q.status_revisao) AS status_revisao, coalesce(h.m.m, q.motivo_decisao) AS motivo_decisao, h.review_id IS NOT NULL AS decidido FROM revisao_google q LEFT JOIN h USING (review_id))"""
 DIST = "2 * 6371000.0 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lng - a.lng) / 2), 2)))) <= 50"
 NORMAL = "trim(regexp_replace(translate(lower(nome), 'áàâãäéèêëíìîïóòôõöúùûüçñ', 'aaaaaeeeeiiiiooooouuuucn'), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
-PAIRS = f"""e AS (SELECT pos, fonte, lat, lng, {NORMAL} AS n FROM terreiros_all_sources_v2 WHERE fonte IN ('ceao', 'google', 'osm', 'sefaz')),
-v AS (SELECT * FROM e WHERE lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180),
-near AS (SELECT least(a.pos, b.pos) AS a, greatest(a.pos, b.pos) AS b, 1 AS r FROM v a JOIN v b ON b.lat BETWEEN a.lat AND a.lat + 0.00046 WHERE (b.lat > a.lat OR b.pos > a.pos) AND a.pos <> b.pos AND {DIST}),
-same AS (SELECT m.p AS a, e.pos AS b, 2 AS r FROM e JOIN (SELECT n, min(pos) AS p FROM e WHERE length(n) > 5 GROUP BY n) m USING (n) WHERE e.pos <> m.p),
-pr AS (SELECT a, b, min(r) AS r FROM (SELECT * FROM near UNION ALL SELECT * FROM same) GROUP BY a, b)"""
+ROWS = f"""e AS (SELECT *, nullif(fonte, '') AS f, {NORMAL} AS n, lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180 AS v FROM terreiros_all_sources_v2)"""
+CLOSURE = f"""{ROWS},
+x AS (SELECT a.pos AS a, b.pos AS b FROM e a JOIN e b ON b.lat BETWEEN a.lat - 0.00046 AND a.lat + 0.00046 WHERE a.v AND b.v AND a.f IS DISTINCT FROM b.f AND {DIST}
+  UNION SELECT a.pos, b.pos FROM e a JOIN e b USING (n) WHERE n <> '' AND a.f IS DISTINCT FROM b.f
+  UNION SELECT a.pos, b.pos FROM (SELECT s.n AS s, l.n AS l FROM (SELECT DISTINCT n FROM e WHERE length(n) > 5) s JOIN (SELECT DISTINCT n FROM e WHERE length(n) > 5) l ON length(l.n) > length(s.n) AND contains(l.n, s.n)) h
+    JOIN e a ON a.n = h.s JOIN e b ON b.n = h.l WHERE a.f IS DISTINCT FROM b.f),
+y AS (SELECT a, b FROM x UNION SELECT b, a FROM x), r AS (SELECT a AS p, b AS q FROM y UNION SELECT r.p, y.b FROM r JOIN y ON y.a = r.q), g AS (SELECT p AS pos, min(least(p, q)) AS grupo FROM r GROUP BY p)"""
 
 SUGGESTED = f"""q AS (SELECT *, {K} AS k, round(latitude, 6) AS a, round(longitude, 6) AS b FROM revisao_google),
 m1 AS (SELECT k, a, b, arg_max(coalesce(motivo_sugestao, 'Caso ambíguo da triagem automática'), pos) AS m FROM q WHERE sugestao = 'ambíguo' GROUP BY ALL), m2 AS (SELECT k, a, b, arg_max(coalesce(motivo_sugestao, 'Possível falso positivo'), pos) AS m FROM q WHERE sugestao = 'possível falso positivo' GROUP BY ALL),
@@ -275,5 +276,13 @@ WITH h AS (SELECT review_id, max({a: coalesce(revisado_em, ''), b: recebido_em,
 SELECT q.review_id, nome, endereco, fonte, latitude, longitude, sugestao, coalesce(h.m.c, status_revisao) AS status_revisao, coalesce(h.m.m, motivo_decisao) AS motivo_decisao, coalesce(h.m.o, observacoes) AS observacoes, h.m.r AS revisado_em
 FROM revisao_google q LEFT JOIN h USING (review_id)""",
     "html_escape": """SELECT pos, replace(replace(replace(replace(replace('<a title="''' || coalesce(nome, '') || '''">&', '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#39;') AS html FROM revisao_google""",
-    "entity_match_pairs": f"WITH {PAIRS} SELECT pr.a, pr.b, CASE r WHEN 1 THEN 'distancia' ELSE 'nome' END AS regra FROM pr JOIN e x ON x.pos = pr.a JOIN e y ON y.pos = pr.b WHERE x.fonte IS DISTINCT FROM y.fonte",
+    "entity_match_pairs": f"""
+WITH {ROWS}, d AS (SELECT n, min(pos) AS h, count(DISTINCT coalesce(f, '?')) AS k, min(coalesce(f, '?')) AS f FROM e WHERE n <> '' GROUP BY n), w AS (SELECT lat, lng, min(pos) AS h, count(DISTINCT coalesce(f, '?')) AS k, min(coalesce(f, '?')) AS f FROM e WHERE v GROUP BY lat, lng)
+SELECT w.h AS a, e.pos AS b, 'ponto' AS regra FROM e JOIN w USING (lat, lng) WHERE v AND k > 1 AND e.pos <> w.h UNION ALL SELECT d.h, e.pos, 'nome' FROM e JOIN d USING (n) WHERE k > 1 AND e.pos <> d.h
+UNION ALL SELECT least(a.h, b.h), greatest(a.h, b.h), 'distancia' FROM w a JOIN w b ON b.lat BETWEEN a.lat AND a.lat + 0.00046 WHERE (b.lat > a.lat OR b.lng > a.lng) AND NOT (a.k = 1 AND b.k = 1 AND a.f = b.f) AND {DIST}
+UNION ALL SELECT least(s.h, l.h), greatest(s.h, l.h), 'inclusao' FROM d s JOIN d l ON length(s.n) > 5 AND length(l.n) > length(s.n) AND contains(l.n, s.n) WHERE NOT (s.k = 1 AND l.k = 1 AND s.f = l.f)""",
+    "entity_clusters": f"WITH RECURSIVE {CLOSURE} SELECT * FROM g",
+    "entity_survivor": f"""
+WITH RECURSIVE {CLOSURE}, c AS (SELECT e.*, coalesce(g.grupo, e.pos) AS grupo, (coalesce(nome, '') <> '')::INT + (coalesce(endereco, '') <> '')::INT + (coalesce(bairro, '') <> '')::INT + (coalesce(municipio, '') <> '')::INT + (coalesce(cep, '') <> '')::INT AS d FROM e LEFT JOIN g USING (pos))
+SELECT grupo, count(*) AS registros, count(DISTINCT fonte) AS fontes_distintas, {', '.join(f"first({c} ORDER BY d DESC, pos) FILTER (coalesce({c}, '') <> '') AS {c}" for c in ("nome", "endereco", "bairro", "municipio", "cep"))} FROM c GROUP BY grupo""",
 }

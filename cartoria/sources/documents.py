@@ -55,16 +55,22 @@ def csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None
     return df.na.fill("").filter(F.length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns])) > 0)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any file system that the session knows; a plain path is this machine's."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path if ":" in path.split("/", 1)[0] else "file://" + os.path.abspath(path))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def optional_csv(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
     """A CSV, or no rows of its schema where there is no path or no file."""
-    if path is None or not (os.path.exists(path) or "://" in path):
+    if path is None or not exists(spark, path):
         return spark.createDataFrame([], schema)
     return csv_table(spark, path, schema)
 
 
 def decision_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stored decisions, JSON lines; an unreadable or missing store is an empty one."""
-    if not os.path.exists(path) and "://" not in path:
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 

@@ -23,7 +23,7 @@ def version_dir(root: str, version: str) -> str:
 
 
 def _file(spark: SparkSession, path: str):  # noqa: ANN202 - JVM objects
-    place = spark._jvm.org.apache.hadoop.fs.Path(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
+    place = spark._jvm.org.apache.hadoop.fs.Path(path if ":" in path.split("/", 1)[0] else "file://" + os.path.abspath(path))
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 

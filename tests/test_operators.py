@@ -5,11 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cartoria.operators.audit import histogram, histogram_map, over_fixed
+from cartoria.functions.text import first_label
+from cartoria.operators.audit import histogram, histogram_map, over_fixed, reconciled
 from cartoria.operators.classify import RuleSet, is_place, refine_ambiguous, removal_reason, scan_buckets, with_nation
-from cartoria.operators.decisions import latest_decisions, overlaid_queue, queue_filter, upserted, valid_imports
+from cartoria.operators.components import components
+from cartoria.operators.decisions import imported, latest_decisions, overlaid_queue, queue_filter, upserted, valid_imports, writable
 from cartoria.operators.entities import clusters, linked_pairs, match_pairs, merged_entities
-from cartoria.operators.keyed import excluded, first_wins, last_wins, overlaid, ranked_first, split_by
+from cartoria.operators.keyed import excluded, first_wins, globally_ranked, last_wins, overlaid, ranked_first, split_by
+from cartoria.operators.records import merged_map, narrow_features, normalized_primary, rules_table
+from cartoria.operators.skew import blocked_join, hot_keys
 
 
 @pytest.mark.parametrize(
@@ -94,7 +98,11 @@ def test_decisions(spark):
     assert {r["id"]: r["status_revisao"] for r in latest.collect()} == {"1": "falso_positivo", "2": "falso_positivo", "3": "outra"}
     known = spark.createDataFrame([("1",), ("2",)], "id string")
     valid = valid_imports(log, known, "id").collect()
-    assert sorted((r["id"], r["status_revisao"], r["motivo_decisao"]) for r in valid) == [("1", "falso_positivo", "m"), ("1", "falso_positivo", "m"), ("1", "manter", "")]
+    assert sorted((r["id"], r["status_revisao"], r["motivo_decisao"]) for r in valid) == [("1", "falso_positivo", "m"), ("1", "falso_positivo", "m"), ("1", "manter", ""), ("2", "falso_positivo", " ")]
+    written = writable(log, "status_revisao").filter(F.col("id").isNotNull()).collect()
+    assert sorted((r["id"], r["status_revisao"], r["motivo_decisao"]) for r in written) == [("1", "falso_positivo", "m"), ("1", "falso_positivo", "m"), ("1", "manter", "")]
+    store = imported(log.limit(0).withColumn("observacoes", F.lit("")), log.withColumn("observacoes", F.lit(None).cast("string")), known, "id", "t").collect()
+    assert {r["id"]: (r["status_revisao"], r["observacoes"], r["origem"]) for r in store} == {"1": ("falso_positivo", "", "CSV importado"), "2": ("falso_positivo", "", "CSV importado")}
     queue = spark.createDataFrame([("1", "pendente"), ("9", "pendente")], "id string, status_revisao string")
     assert {r["id"]: (r["status_revisao"], r["decidido"]) for r in overlaid_queue(queue, latest, "id", ["status_revisao"]).collect()} == {"1": ("falso_positivo", True), "9": ("pendente", False)}
     newer = spark.createDataFrame([("1", "manter", "", "t2")], log.schema)
@@ -111,7 +119,7 @@ def test_entities(spark):
     df = spark.createDataFrame(rows, "pos long, fonte string, nome string, lat double, lng double, endereco string")
     pairs = match_pairs(df)
     assert sorted((r["a"], r["b"], r["regra"]) for r in pairs.collect()) == [(1, 2, "distancia"), (1, 3, "nome")]
-    labels = clusters(pairs)
+    labels = clusters(linked_pairs(df))
     assert {r["pos"]: r["grupo"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1}
     merged = {r["grupo"]: (r["registros"], r["endereco"]) for r in merged_entities(df, labels, ["nome", "endereco"]).collect()}
     assert merged == {1: (3, "rua"), 4: (1, "z"), 5: (1, None)}
@@ -152,3 +160,89 @@ def test_links_join_names_that_hold_others(spark):
         many = [(i, rng.choice(["ceao", "google", None]), " ".join(rng.choice(["abc", "defg", "hijkl", "mno", "pqrs"]) for _ in range(rng.randint(1, 3)))) for i in range(26)]
         tied = lambda n, m: n == m or (min(len(n), len(m)) > 5 and (n in m or m in n))
         assert {r["pos"]: r["grupo"] for r in clusters(linked_pairs(at(many))).collect()} == brute_groups(many, tied)
+
+
+def test_ranks_over_ranges(spark):
+    rows = [(i * 7919 % 500, i) for i in range(400)] + [(None, 400)]
+    df = spark.createDataFrame(rows, "v long, pos long").repartition(5)
+    got = {r["pos"]: r["rank"] for r in globally_ranked(df, [F.col("v"), F.col("pos")]).collect()}
+    want = {pos: n for n, (_, pos) in enumerate(sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1])), 1)}
+    assert got == want and globally_ranked(df.limit(0), [F.col("v")]).count() == 0
+
+
+def test_hot_keys_are_split(spark):
+    left = spark.createDataFrame([(i % 3 if i < 90 else 7, i) for i in range(120)] + [(None, 999)], "k long, v long")
+    right = spark.createDataFrame([(k, f"w{k}{j}") for k in range(9) for j in range(3)], "k long, w string")
+    assert hot_keys(left, ["k"], 100) is None
+    assert {r["k"]: r["count"] for r in hot_keys(left, ["k"], 29).collect()} == {0: 30, 1: 30, 2: 30, 7: 30}
+    plain = sorted(map(tuple, left.join(right, "k").collect()))
+    for block in (5, 29, 1_000):
+        assert sorted(map(tuple, blocked_join(left, right, ["k"], block).select("k", "v", "w").collect())) == plain
+
+
+def test_components(spark):
+    random.seed(6)
+    edges = [(i, i + 1) for i in range(40)] + [(random.randint(100, 160), random.randint(100, 160)) for _ in range(30)] + [(7, 7), (None, 3)]
+    parent: dict = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges[:-1]:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r["node"]: r["root"] for r in components(df, "a", "b").collect()}
+    assert got == {x: find(x) for a, b in edges[:-1] if a != b for x in (a, b)}
+    assert components(df.limit(0), "a", "b").count() == 0
+
+
+def test_primary_records(spark):
+    df = spark.createDataFrame([(1, 7, "<html>", -12.0, -38.0, "old"), (2, None, "<html>", 0.0, 0.0, "old")], "pos int, id int, raw_html string, lat double, lng double, fonte string")
+    rows = normalized_primary(df, "ceao", "CEAO").orderBy("pos").collect()
+    assert "raw_html" not in rows[0].asDict() and "id" not in rows[0].asDict()
+    assert [(r["ceao_id"], r["fonte"], r["geo_status"], r["fontes"][0]["id"]) for r in rows] == [("7", "ceao", "in_bahia", "7"), ("", "ceao", "out_of_bahia", "")]
+
+
+def test_aliases_stop_at_a_key_that_is_there(spark):
+    df = spark.sql("SELECT 1 pos, map('lat', '-12', 'lng', '-38', 'name', 'a') f UNION ALL SELECT 2, map('lat', '-12', 'lng', '-38', 'nome', CAST(NULL AS STRING), 'name', 'b') UNION ALL SELECT 3, map('lat', 'x', 'lng', '-38') UNION ALL SELECT 4, map('lat', '-12', 'lng', '-38', 'cidade', 'c')")
+    got = {r["pos"]: (r["nome"], r["municipio"]) for r in narrow_features(df, "f").collect()}
+    assert got == {1: ("a", ""), 2: (None, ""), 4: ("", "c")}
+
+
+def test_maps_merge(spark):
+    row = spark.sql("SELECT map('a', '1', 'b', '2') o, map('b', '3') n, CAST(NULL AS MAP<STRING, STRING>) z").select(merged_map(F.col("o"), F.col("n")).alias("m"), merged_map(F.col("z"), F.col("n")).alias("k")).first()
+    assert row["m"] == {"a": "1", "b": "3"} and row["k"] == {"b": "3"}
+
+
+def test_hundreds_of_rules_keep_their_order(spark):
+    rules = [("x", i, f"r{i}", f"w{i:03d}") for i in range(400)] + [("y", 0, "other", ".")]
+    table = spark.createDataFrame(rules, "kind string, ord int, label string, pattern string").repartition(7)
+    read = rules_table(table, "x")
+    assert [label for label, _ in read] == [f"r{i}" for i in range(400)]
+    got = spark.createDataFrame([("a w399 w007",), ("nothing",), (None,)], "t string").select(first_label(F.col("t"), read).alias("l")).collect()
+    assert [r["l"] for r in got] == ["r7", None, None]
+
+
+def test_reconciliation(spark):
+    now = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "id string")
+    before = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "id string")
+    row = reconciled(now, before, "id").first()
+    assert (row["extraidos"], row["ids_unicos"], row["presentes_na_v1"], row["adicionados_na_v2"], row["ausentes"]) == (4, 2, 2, 1, 1)
+    assert reconciled(now.limit(0), before.limit(0), "id").first()["extraidos"] == 0
+
+
+def test_links_by_points_are_those_of_all_pairs(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["ceao", "google", "osm", None]), None, -10.0 - 0.0003 * rng.randint(0, 9), -40.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "pos long, fonte string, nome string, lat double, lng double")
+    label = {r[0]: r[0] for r in rows}
+    for _ in rows:
+        for p, f, _n, y, _x in rows:
+            for q, g, _m, z, _w in rows:
+                if f != g and abs(y - z) * 111_194.9 <= 50:
+                    label[p] = label[q] = min(label[p], label[q])
+    want = {p: x for p, x in label.items() if sum(v == x for v in label.values()) > 1}
+    links = linked_pairs(df)
+    assert {r["pos"]: r["grupo"] for r in clusters(links).collect()} == want and links.count() < 4 * len(rows)

@@ -4,9 +4,9 @@ import os
 
 import pytest
 
-from cartoria.plans import registry, review, screening, spatial_queries
+from cartoria.plans import integration, registry, review, screening, spatial_queries
 
-MODULES = [registry, screening, review, spatial_queries]
+MODULES = [registry, screening, review, integration, spatial_queries]
 QUERIES = {name: (m.QUERIES[name], m.SQL.get(name)) for m in MODULES for name in m.QUERIES}
 
 
@@ -20,9 +20,8 @@ def test_matches_sql(name, compare):
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
 def test_entities_are_consistent(spark):
     clusters = review.entity_clusters(spark, "/root/testdata/sf0.001").collect()
-    pairs = review.entity_match_pairs(spark, "/root/testdata/sf0.001").collect()
     group = {r["pos"]: r["grupo"] for r in clusters}
-    assert all(group[p["a"]] == group[p["b"]] for p in pairs)
+    assert all(group[p["a"]] == group[p["b"]] for p in review.entity_links(spark, "/root/testdata/sf0.001").collect())
     survivors = review.entity_survivor(spark, "/root/testdata/sf0.001")
     total = review.entity_rows(spark, "/root/testdata/sf0.001").count()
     assert survivors.agg({"registros": "sum"}).first()[0] == total

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from cartoria.sources.documents import csv_table, decision_store, geojson, html_pages, json_array, json_path, open_json_array, optional_csv
-from cartoria.sources.elements import ElementSource, flattened_tags, named_elements
+from cartoria.sources.elements import ElementSource, area_query, failed_queries, flattened_tags, matching, named_elements
 from cartoria.sources.sinks import ranked_report, version_dir, write_csv, write_geojson, write_json
 
 NAME = T.StructType([T.StructField("nome", T.StringType()), T.StructField("lat", T.DoubleType())])
@@ -69,16 +69,33 @@ def test_elements(spark, tmp_path):
         (tmp_path / f"q{n}.json").write_text(json.dumps(d))
     spark.dataSource.register(ElementSource)
     reader = spark.read.format("map_elements").option("endpoint", f"file://{tmp_path}/q{{query}}.json").option("pause", "0").option("attempts", "2")
-    for n in range(3):  # the third query has no answer and gives no rows
+    for n in range(3):  # the third query has no answer
         reader = reader.option(f"query.{n}", "node")
     elements = reader.load()
-    assert elements.count() == 5
+    assert elements.filter(F.col("type") != "error").count() == 5
+    failed = failed_queries(elements).collect()
+    assert [(r["query"], r["attempts"]) for r in failed] == [(2, 2)] and failed[0]["error"]
     kept = named_elements(elements)
     assert sorted((r["type"], r["id"], r["tags"]["name"]) for r in kept.collect()) == [("node", 1, "A"), ("way", 1, "C")]
     flat = flattened_tags(kept).filter(F.col("type") == "node").first()["properties"]
     assert flat == {"name": "A", "osm_id": "1", "osm_type": "node"}
 
 
+def test_remote_filter(spark):
+    text = area_query("BR-BA", {"amenity": "place_of_worship", "name": '~il[eê] "a"'})
+    assert text == '[out:json][timeout:60];area["ISO3166-2"="BR-BA"]->.a;node["amenity"="place_of_worship"]["name"~"il[eê] \\"a\\"",i](area.a);out body;'
+    rows = spark.sql("SELECT 'node' type, 1 id, map('name', 'ILÊ Axé', 'amenity', 'x') tags UNION ALL SELECT 'way', 2, map('name', 'ilê', 'amenity', 'x') UNION ALL SELECT 'node', 3, map('name', 'casa', 'amenity', 'x') UNION ALL SELECT 'node', 4, map('name', 'ilê') UNION ALL SELECT 'node', 5, NULL")
+    assert [r["id"] for r in matching(rows, {"amenity": "x", "name": "~il[eê]"}).collect()] == [1]
+
+
+def test_large_documents_are_streamed(spark, tmp_path):
+    df = spark.range(20_000).select((F.lit(20_000) - F.col("id")).alias("pos"), F.concat(F.lit("linha\n\""), F.col("id")).alias("nome")).repartition(7)
+    assert write_json(df, str(tmp_path / "sub" / "o.json"), "pos") == 20_000
+    rows = json.loads((tmp_path / "sub" / "o.json").read_text())["registros"]
+    assert len(rows) == 20_000 and rows[0]["nome"] == 'linha\n"19999'
+    assert write_csv(df, str(tmp_path / "o.csv"), "pos") == 20_000 and csv_table(spark, str(tmp_path / "o.csv")).count() == 20_000
+
+
 def test_stream(spark, tmp_path):
     from cartoria.streaming.decisions import latest_store, upsert_stream, windowed_counts
 
