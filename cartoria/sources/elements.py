@@ -31,11 +31,11 @@ def area_query(area: str, tags: dict[str, str], kind: str = "node", timeout: int
 
 
 def matching(elements: DataFrame, tags: dict[str, str], kind: str = "node") -> DataFrame:
-    """The same filter over elements that are already here, for sources that can't filter: kind, exact values, patterns without case."""
+    """The same filter over elements that are already here, for sources that can't filter: kind, exact values, patterns, in lower case, without case."""
     kept = elements.filter(F.col("type") == kind)
     for key, value in tags.items():
         tag = F.try_element_at("tags", F.lit(key))
-        kept = kept.filter(tag.rlike("(?iu)" + value[1:]) if value.startswith("~") else tag == value)
+        kept = kept.filter(F.lower(tag).rlike(value[1:]) if value.startswith("~") else tag == value)
     return kept
 
 

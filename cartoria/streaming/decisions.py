@@ -8,16 +8,24 @@ from pyspark.sql.streaming import DataStreamWriter
 from cartoria.operators.decisions import upserted
 
 
-def upsert_stream(decisions: DataFrame, store: str, key: str, order: str) -> DataStreamWriter:
-    """Each micro-batch is merged into a store of numbered Parquet versions; a batch that is replayed rewrites its own version only."""
+def upsert_stream(decisions: DataFrame, store: str, key: str, order: str, keep: int = 2) -> DataStreamWriter:
+    """Each micro-batch is merged into a store of numbered Parquet versions; a batch that is replayed rewrites its own version only.
+
+    A version holds one row for each key. The newest ``keep`` versions before a batch's own stay, for a replay and for readers; older ones are removed.
+    """
+    if keep < 1:
+        raise ValueError("a replay needs the version before")
 
     def merge(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
         fs_path = spark._jvm.org.apache.hadoop.fs.Path
         files = fs_path(store).getFileSystem(spark._jsc.hadoopConfiguration())
-        before = max((n for n in (int(s.getPath().getName()[2:]) for s in (files.globStatus(fs_path(store, "v=*")) or [])) if n < number), default=None)
+        earlier = sorted(n for n in (int(s.getPath().getName()[2:]) for s in (files.globStatus(fs_path(store, "v=*")) or [])) if n < number)
+        before = earlier[-1] if earlier else None
         stored = batch.limit(0) if before is None else spark.read.parquet(f"{store}/v={before}")
         upserted(stored, batch, key, order).write.mode("overwrite").parquet(f"{store}/v={number}")
+        for old in earlier[:-keep]:
+            files.delete(fs_path(store, f"v={old}"), True)
 
     return decisions.writeStream.foreachBatch(merge)
 
