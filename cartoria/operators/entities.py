@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartoria.functions.lineage import cut
 from cartoria.operators.components import components
+from cartoria.operators.skew import blocked_join, sieve_of, sifted
 from cartoria.operators.spatial import near_classes, valid_points
 
 
@@ -35,14 +36,17 @@ def same_name_links(named: DataFrame, heads: DataFrame) -> DataFrame:
 def contained_names(names: DataFrame, letters: int = 6) -> DataFrame:
     """``s, l``: distinct names of at least ``letters`` characters and the other names that hold them as they are.
 
-    A name meets the names that hold its rarest run of so many letters, which every name that holds it must; then the whole name is looked for.
+    A name seeks the names that hold one of its runs of so many letters, which every name that holds it must: the one that is rarest by counts of hash
+    buckets. A sieve drops the runs that nobody seeks before anything is shuffled; then the whole name is looked for.
     """
     long = cut(names.select("n").distinct().filter(F.length("n") >= letters))
     runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n") - letters + 1), lambda i: F.xxhash64(F.substr("n", i, F.lit(letters)))))
     grams = long.select(F.xxhash64("n").alias("k"), F.explode(runs).alias("gram"))
-    rarest = grams.join(grams.groupBy("gram").count().filter(F.col("count") > 1), "gram", "left").groupBy("k").agg(F.min(F.struct(F.coalesce("count", F.lit(1)).alias("count"), "gram")).alias("g"))
-    sought = rarest.filter(F.col("g.count") > 1).select(F.col("k").alias("ks"), F.col("g.gram").alias("gram"))
-    met = grams.join(sought, "gram").filter(F.col("k") != F.col("ks"))
+    bucket = F.pmod("gram", F.lit(1 << 16)).cast("int")
+    counts = grams.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"))  # at most 65,536 rows
+    rarest = grams.withColumn("b", bucket).join(F.broadcast(counts), "b").groupBy("k").agg(F.min(F.struct("c", "gram")).alias("g"))
+    sought = cut(rarest.filter(F.col("g.c") > 1).select(F.col("k").alias("ks"), F.col("g.gram").alias("gram")))
+    met = blocked_join(sought, sifted(grams, "gram", sieve_of(sought, "gram")), ["gram"], 1_000).filter(F.col("k") != F.col("ks"))
     names_by = lambda k, n: long.select(F.xxhash64("n").alias(k), F.col("n").alias(n))
     return met.join(names_by("k", "l"), "k").join(names_by("ks", "s"), "ks").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
 

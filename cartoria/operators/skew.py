@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cartoria.functions.lineage import cut
@@ -16,6 +20,41 @@ def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Bits of a sieve: a fixed 4 MB, whatever the data.
+SIEVE_BITS = 1 << 25
+
+
+def sieve_of(values: DataFrame, column: str = "value"):  # noqa: ANN201
+    """A broadcast of ``SIEVE_BITS`` bits with those of the values of a bigint column set.
+
+    Where few values are sought among many, a sieve saves the shuffle of the others; what it lets through has to be joined exactly.
+    """
+    bit = F.pmod(F.col(column), F.lit(SIEVE_BITS)) + 1
+    pieces = values.groupBy(F.bitmap_bucket_number(bit).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect()  # at most SIEVE_BITS / 32768 rows
+    bits = bytearray(SIEVE_BITS // 8)
+    for r in pieces:
+        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = r["m"]
+    return values.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
+def passing(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit values a sieve's bytes let through."""
+    bit = values.view(np.uint64) % np.uint64(SIEVE_BITS)
+    return (bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def sifted(df: DataFrame, column: str, sieve) -> DataFrame:  # noqa: ANN001
+    """The rows of ``df`` whose bigint ``column`` the sieve lets through; nulls don't pass."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sieve.value, dtype=np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(passing(np.asarray(batch.column(at).to_numpy(zero_copy_only=False), dtype=np.int64), bits)))
+
+    return df.filter(F.col(column).isNotNull()).mapInArrow(run, df.schema)
+
+
 def hot_keys(df: DataFrame, on: list[str], most: int, buckets: int = 1 << 16) -> DataFrame | None:
     """Keys with more than ``most`` rows and their ``count``, or None if there are none.
 

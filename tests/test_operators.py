@@ -13,7 +13,7 @@ from cartoria.operators.decisions import imported, latest_decisions, overlaid_qu
 from cartoria.operators.entities import clusters, linked_pairs, match_pairs, merged_entities
 from cartoria.operators.keyed import excluded, first_wins, globally_ranked, last_wins, overlaid, ranked_first, split_by
 from cartoria.operators.records import merged_map, narrow_features, normalized_primary, rules_table
-from cartoria.operators.skew import blocked_join, hot_keys
+from cartoria.operators.skew import blocked_join, hot_keys, sieve_of, sifted
 
 
 @pytest.mark.parametrize(
@@ -246,3 +246,11 @@ def test_links_by_points_are_those_of_all_pairs(spark):
     want = {p: x for p, x in label.items() if sum(v == x for v in label.values()) > 1}
     links = linked_pairs(df)
     assert {r["pos"]: r["grupo"] for r in clusters(links).collect()} == want and links.count() < 4 * len(rows)
+
+
+def test_a_sieve_lets_all_sought_through(spark):
+    sought = spark.range(50).select((F.col("id") * 7 - 100).alias("value"))
+    df = spark.range(-2000, 2000).select(F.col("id").alias("v"), F.lit("x").alias("t")).union(spark.sql("SELECT CAST(NULL AS BIGINT), 'n'"))
+    got = {r["v"] for r in sifted(df, "v", sieve_of(sought)).collect()}
+    assert got == {i * 7 - 100 for i in range(50)}
+    assert sifted(df, "v", sieve_of(sought.limit(0))).count() == 0
