@@ -33,22 +33,25 @@ def same_name_links(named: DataFrame, heads: DataFrame) -> DataFrame:
     return named.join(heads.filter(F.col("h2").isNotNull()), "n").select(F.col("pos").alias("p"), head.alias("q"))
 
 
-def contained_names(names: DataFrame, letters: int = 6) -> DataFrame:
+def contained_names(names: DataFrame, letters: int = 6, long: int = 14) -> DataFrame:
     """``s, l``: distinct names of at least ``letters`` characters and the other names that hold them as they are.
 
-    A name seeks the names that hold one of its runs of so many letters, which every name that holds it must: the one that is rarest by counts of hash
-    buckets. A sieve drops the runs that nobody seeks before anything is shuffled; then the whole name is looked for.
+    A name seeks the names that hold one of its runs of ``long`` characters, or of ``letters`` if it is shorter than that, which every name that holds it must: the run that
+    is rarest by counts of hash buckets. A sieve drops the runs that nobody seeks before anything is shuffled; then the whole name is looked for.
     """
-    long = cut(names.select("n").distinct().filter(F.length("n") >= letters))
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n") - letters + 1), lambda i: F.xxhash64(F.substr("n", i, F.lit(letters)))))
-    grams = long.select(F.xxhash64("n").alias("k"), F.explode(runs).alias("gram"))
+    named = cut(names.select("n").distinct().filter(F.length("n") >= letters))
+    runs = lambda size: F.transform(F.sequence(F.lit(1), F.length("n") - size + 1), lambda i: F.xxhash64(F.substr("n", i, F.lit(size))))
+    at_least = F.length("n") >= long
+    grams = lambda which: named.select(F.xxhash64("n").alias("k"), F.length("n").alias("m"), F.explode(which).alias("gram"))
+    own = grams(F.when(at_least, runs(long)).otherwise(runs(letters)))
     bucket = F.pmod("gram", F.lit(1 << 16)).cast("int")
-    counts = grams.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"))  # at most 65,536 rows
-    rarest = grams.withColumn("b", bucket).join(F.broadcast(counts), "b").groupBy("k").agg(F.min(F.struct("c", "gram")).alias("g"))
-    sought = cut(rarest.filter(F.col("g.c") > 1).select(F.col("k").alias("ks"), F.col("g.gram").alias("gram")))
-    met = blocked_join(sought, sifted(grams, "gram", sieve_of(sought, "gram")), ["gram"], 1_000).filter(F.col("k") != F.col("ks"))
-    names_by = lambda k, n: long.select(F.xxhash64("n").alias(k), F.col("n").alias(n))
-    return met.join(names_by("k", "l"), "k").join(names_by("ks", "s"), "ks").filter((F.length("l") > F.length("s")) & F.contains("l", "s")).select("s", "l")
+    counts = own.groupBy(bucket.alias("b")).agg(F.count("*").alias("c"))  # at most 65,536 rows
+    rarest = own.withColumn("b", bucket).join(F.broadcast(counts), "b").groupBy("k", "m").agg(F.min(F.struct("c", "gram")).alias("g"))
+    sought = cut(rarest.select(F.col("k").alias("ks"), F.col("m").alias("ms"), F.col("g.gram").alias("gram")))
+    offered = sifted(grams(F.when(at_least, F.concat(runs(letters), runs(long))).otherwise(runs(letters))), "gram", sieve_of(sought, "gram"))
+    met = blocked_join(sought, offered, ["gram"], 1_000).filter(F.col("m") > F.col("ms")).select("k", "ks").distinct()
+    names_by = lambda k, n: named.select(F.xxhash64("n").alias(k), F.col("n").alias(n))
+    return met.join(names_by("k", "l"), "k").join(names_by("ks", "s"), "ks").filter(F.contains("l", "s")).select("s", "l")
 
 
 def crossing_links(members: DataFrame, heads: DataFrame, met: DataFrame) -> DataFrame:
