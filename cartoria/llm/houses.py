@@ -83,12 +83,12 @@ def keyed_records(spark: SparkSession, directory: str, extra: dict[str, Column]
 def readings(records: DataFrame) -> DataFrame:
     """The distinct readings, written: ``key, hash, town, words, support, district, common, initial``; ``hash`` is the records' key.
 
-    ``key`` numbers the readings; numbers take less room in a shuffle than hashes.
+    ``district`` is a hash, null where no record names one. ``key`` numbers the readings; numbers take less room in a shuffle than hashes.
     ``support`` counts the records, so copies and repeated deliveries only add to it. ``common`` tells that every word is about as frequent as
     words are: at least a quarter of the mean frequency that an occurrence of a word meets. Two names of common words are two names;
     whoever mistypes a word makes an uncommon one. ``initial`` tells that an initial stands for a word.
     """
-    raw = cut(records.groupBy("key", "town", "words").agg(F.count("*").alias("support"), F.max("district").alias("district")))
+    raw = cut(records.groupBy("key", "town", "words").agg(F.count("*").alias("support"), F.max(F.when(F.col("district") != "", F.xxhash64("district"))).alias("district")))
     each = raw.filter(F.col("words") != "").select("key", "support", F.explode(F.split("words", " ")).alias("word"))
     words = cut(each.groupBy("word").agg(F.sum("support").alias("n")))
     mean = words.agg(F.try_divide(F.sum(F.col("n") * F.col("n")), F.sum("n")).alias("m")).first()["m"] or 0.0

@@ -56,6 +56,24 @@ def two_by_two(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
     return F.when(x1 == y1, rest(x2, y2)).when(x2 == y2, rest(x1, y1)).when(x1 == y2, rest(x2, y1)).when(x2 == y1, rest(x1, y2)).otherwise(both)
 
 
+def one_by_few(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
+    """``monge_elkan`` of a name of one word and one of one or two, in plain expressions: the two words run together in the better order."""
+    joined = lambda t: F.replace(t, F.lit(" "))
+    turned = lambda t: F.concat(F.substring_index(t, " ", -1), F.substring_index(t, " ", 1))
+    plain = word_similarity(joined(a), joined(b))
+    s = F.when(F.instr(a, " ") > 0, F.greatest(plain, word_similarity(turned(a), b))).when(F.instr(b, " ") > 0, F.greatest(plain, word_similarity(a, turned(b)))).otherwise(plain)
+    return F.when(s >= weakest, s).otherwise(F.lit(0.0))
+
+
+#: Which measure a pair of names takes: that of any names, of one word and few, of two and two words.
+ANY, FEW, TWO = 0, 1, 2
+
+
+def shape(n: Column, m: Column) -> Column:
+    """The kind of measure for names of ``n`` and ``m`` words."""
+    return F.when((n == 2) & (m == 2), TWO).when((n <= 2) & (m <= 2), FEW).otherwise(ANY).cast("byte")
+
+
 def monge_elkan(a: Column, b: Column, weakest: float = WEAKEST) -> Column:
     """Symmetric Monge-Elkan similarity of two names of any number of words: the smaller of both directions' means.
 

@@ -5,7 +5,7 @@ MinHash banding over padded q-grams of the own words, as they were typed, verifi
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,16 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartoria.functions.lineage import cut
 from cartoria.llm.houses import keyed_records, readings, source_units
-from cartoria.llm.linkage import monge_elkan, two_by_two
-from cartoria.operators.skew import blocked_join, small
+from cartoria.llm.linkage import FEW, TWO, monge_elkan, one_by_few, shape, two_by_two
+from cartoria.operators.skew import blocked_join, passing, sieve_of, small
 
 RECALL, SIMILARITY, HASHES, LEAST = 0.99, 0.62, 116, 0.82
 #: So many seekers that share a value are compared in one block.
 BLOCK = 1_000
 #: Kinds of shared values: a MinHash band of a town, a whole word and an end of another, the other words and an initial of a town.
 BAND, ENDS, INITIAL = 0, 1, 2
-#: Bits of the sieve: a fixed 4 MB, whatever the data.
-SIEVE_BITS = 1 << 25
 
 
 def collision(similarity: float, rows: int, bands: int) -> float:
@@ -82,7 +80,7 @@ def initial_values(words: str, offered: bool) -> list[str]:
 
 
 def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True) -> DataFrame:  # noqa: ANN001 - a broadcast of bytes
-    """``key, kind, value, two, common``: what readings can share; ``two`` tells that the name has two words.
+    """``key, kind, value, words, common``: what readings can share; ``words`` is how many the name has.
 
     Sought are bands by uncommon readings, beside them the ends and letters of names of one word, ends by readings without a town, initials by readings that have some. Offered are bands by all
     and the others by readings that have a town and no initial. A ``sieve`` leaves out values that nobody seeks.
@@ -113,28 +111,17 @@ def name_values(names: DataFrame, offered: bool, sieve=None, banded: bool = True
                     parts.append((np.repeat(who, [len(m) for m in made]), kind, np.array([v for m in made for v in m], dtype=np.uint64).view(np.int64)))
                 index, kinds, values = np.concatenate([p[0] for p in parts]), np.concatenate([np.full(len(p[0]), p[1], np.int8) for p in parts]), np.concatenate([p[2] for p in parts])
                 if kept is not None:
-                    bit = values.view(np.uint64) % np.uint64(SIEVE_BITS)
-                    met = (kept[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    met = passing(values, kept)
                     index, kinds, values = index[met], kinds[met], values[met]
-                two = np.array([w.count(" ") == 1 for w in words])
-                yield pa.RecordBatch.from_arrays([pa.array(key[index]), pa.array(kinds), pa.array(values), pa.array(two[index]), pa.array(common[index])], ["key", "kind", "value", "two", "common"])
+                count = np.array([min(w.count(" ") + 1, 100) for w in words], dtype=np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array(key[index]), pa.array(kinds), pa.array(values), pa.array(count[index]), pa.array(common[index])], ["key", "kind", "value", "words", "common"])
 
     told = names.filter(F.col("words") != "").select("key", "words", F.xxhash64("town").alias("t"), (F.col("town") == "").alias("townless"), "common", "initial")
-    return told.mapInArrow(run, "key bigint, kind byte, value bigint, two boolean, common boolean")
-
-
-def sieve_of(values: DataFrame):  # noqa: ANN201
-    """A broadcast of ``SIEVE_BITS`` bits with those of the ``value``s set. What it lets through is joined exactly, so it only saves a shuffle."""
-    bit = F.pmod(F.col("value"), F.lit(SIEVE_BITS)) + 1
-    pieces = values.groupBy(F.bitmap_bucket_number(bit).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m")).collect()  # at most SIEVE_BITS / 32768 rows
-    bits = bytearray(SIEVE_BITS // 8)
-    for r in pieces:
-        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = r["m"]
-    return values.sparkSession.sparkContext.broadcast(bytes(bits))
+    return told.mapInArrow(run, "key bigint, kind byte, value bigint, words byte, common boolean")
 
 
 def name_candidates(names: DataFrame, block: int = BLOCK, bands: bool = True) -> DataFrame:
-    """``kind, own, key, two``, written: every pair of a seeker ``own`` and another reading that offers a value it seeks; ``two`` tells that both names have two words.
+    """``kind, own, key, shape``, written: every pair of a seeker ``own`` and another reading that offers a value it seeks; ``shape`` says which measure they take.
 
     Two seekers of one band are a pair once, the smaller ``own`` first.
 
@@ -143,22 +130,21 @@ def name_candidates(names: DataFrame, block: int = BLOCK, bands: bool = True) ->
     """
     sought = cut(name_values(names, offered=False, banded=bands))
     offered = name_values(names, offered=True, sieve=sieve_of(sought), banded=bands)
-    met = blocked_join(sought.select("kind", "value", F.col("key").alias("own"), F.col("two").alias("_two")), offered, ["kind", "value"], block)
+    mine = sought.select("value", F.col("kind").alias("_kind"), F.col("key").alias("own"), F.col("words").alias("_words"))
+    met = blocked_join(mine, offered, ["value"], block)  # a value is salted by its kind; by one long Spark sorts fastest
     own, key = F.col("own"), F.col("key")
-    one = met.filter((own != key) & ((F.col("kind") != BAND) | (own < key) | F.col("common"))).select("kind", "own", "key", (F.col("two") & F.col("_two")).alias("two"))
-    return cut(one.groupBy("kind", "own", "key", "two").agg(F.lit(1).alias("one")).drop("one"))
+    one = met.filter((F.col("kind") == F.col("_kind")) & (own != key) & ((F.col("kind") != BAND) | (own < key) | F.col("common")))
+    return cut(one.groupBy("own", "key", "kind").agg(F.min(shape(F.col("words"), F.col("_words"))).alias("shape")))
 
 
 def similar_names(pairs: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """``own, key, s`` of the pairs whose names are similar enough; two names of common words are two names."""
     mine = names.select(F.col("key").alias("own"), F.col("words").alias("w"), F.col("common").alias("c"))
     its = names.select("key", F.col("words").alias("v"), F.col("common").alias("d"))
-
-    def scored(some: DataFrame, measure: Callable[[Column, Column], Column]) -> DataFrame:
-        both = some.join(mine, "own").join(its, "key").filter(~(F.col("c") & F.col("d")) | (F.col("w") == F.col("v")))
-        return both.select("own", "key", F.when(F.col("w") == F.col("v"), F.lit(1.0)).otherwise(measure(F.col("w"), F.col("v"))).alias("s")).filter(F.col("s") >= least)
-
-    return scored(pairs.filter("two"), two_by_two).unionByName(scored(pairs.filter(~F.col("two")), monge_elkan))  # apart, as only the former is compiled
+    w, v = F.col("w"), F.col("v")
+    both = pairs.join(mine, "own").join(its, "key").filter(~(F.col("c") & F.col("d")) | (w == v))
+    measure = F.when(w == v, F.lit(1.0)).when(F.col("shape") == TWO, two_by_two(w, v)).when(F.col("shape") == FEW, one_by_few(w, v)).otherwise(monge_elkan(w, v))
+    return both.select("own", "key", measure.alias("s")).filter(F.col("s") >= least)
 
 
 def unit_edges(similar: DataFrame, named: DataFrame) -> DataFrame:
@@ -211,12 +197,13 @@ def settled_houses(housed: DataFrame, candidates: DataFrame, least: float = 0.85
     ends = similar_names(pairs.filter(F.col("kind") == ENDS), housed, least)
     found = ends.unionByName(pairs.filter(F.col("kind") == INITIAL).select("own", "key", F.lit(1.0).alias("s")))
     meant = cut(found.join(housed.select("key", F.col("house").alias("center")), "key").groupBy("own", "center").agg(F.max("s").alias("s")).join(loose.select(F.col("key").alias("own"), "house", "district"), "own"))
-    here = housed.filter(settled & (F.col("district") != "")).select(F.col("house").alias("center"), "district").distinct().join(meant.select("center").distinct(), "center", "left_semi").withColumn("here", F.lit(1))
+    here = housed.filter(settled & F.col("district").isNotNull()).select(F.col("house").alias("center"), "district").distinct().join(meant.select("center").distinct(), "center", "left_semi").withColumn("here", F.lit(1))
     ranked = meant.join(here, ["center", "district"], "left").select("own", "house", "center", F.struct(F.coalesce("here", F.lit(0)).alias("near"), "s").alias("r"))
     best = ranked.groupBy("own").agg(F.max("r").alias("r"))
     single = ranked.join(best, ["own", "r"]).groupBy("own", "house").agg(F.count("*").alias("n"), F.min("center").alias("center"), F.max("r.s").alias("s"))
     agreed = single.groupBy("house").agg(F.max("n").alias("n"), F.min("center").alias("center"), F.max("center").alias("also"), F.min("s").alias("s")).filter((F.col("n") == 1) & (F.col("center") == F.col("also")))
-    return housed.select("hash", "house").join(small(agreed.select("house", "center", "s")), "house", "left").select("hash", F.coalesce("center", "house").alias("house"), F.coalesce("s", F.lit(1.0)).alias("s"))
+    agreed = cut(agreed.select("house", "center", "s"))
+    return housed.select("hash", "house").join(small(agreed), "house", "left").select("hash", F.coalesce("center", "house").alias("house"), F.coalesce("s", F.lit(1.0)).alias("s"))
 
 
 def name_clusters(records: DataFrame, least: float = LEAST) -> DataFrame:
