@@ -129,12 +129,15 @@ def name_candidates(names: DataFrame, block: int = BLOCK, bands: bool = True) ->
     Without ``bands`` only readings without a town or with an initial seek.
     """
     sought = cut(name_values(names, offered=False, banded=bands))
-    offered = name_values(names, offered=True, sieve=sieve_of(sought), banded=bands)
+    sieve = sieve_of(sought)
+    offered = name_values(names, offered=True, sieve=sieve, banded=bands)
     mine = sought.select("value", F.col("kind").alias("_kind"), F.col("key").alias("own"), F.col("words").alias("_words"))
     met = blocked_join(mine, offered, ["value"], block)  # a value is salted by its kind; by one long Spark sorts fastest
     own, key = F.col("own"), F.col("key")
     one = met.filter((F.col("kind") == F.col("_kind")) & (own != key) & ((F.col("kind") != BAND) | (own < key) | F.col("common")))
-    return cut(one.groupBy("own", "key", "kind").agg(F.min(shape(F.col("words"), F.col("_words"))).alias("shape")))
+    found = cut(one.groupBy("own", "key", "kind").agg(F.min(shape(F.col("words"), F.col("_words"))).alias("shape")))
+    sieve.destroy()  # what was found is written
+    return found
 
 
 def similar_names(pairs: DataFrame, names: DataFrame, least: float) -> DataFrame:
