@@ -27,6 +27,14 @@ def test_entities_are_consistent(spark):
     assert survivors.agg({"registros": "sum"}).first()[0] == total
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+def test_geojson_is_written_whole_both_times(spark, monkeypatch):
+    written, write = [], integration.write_geojson
+    monkeypatch.setattr(integration, "write_geojson", lambda *a, pretty=False: written.append((pretty, write(*a, pretty=pretty))))
+    n = integration.geojson_round_trip(spark, "/root/testdata/sf0.001").count()
+    assert n > 0 and written == [(False, n), (True, n)]
+
+
 def test_entry_points():
     import __spark_entry__ as e
 
