@@ -1,7 +1,7 @@
 """Writing results as the single documents that people and maps read.
 
-The executors write the lines of a document, sorted, as the parts of a text; the driver only copies the parts one after another through a buffer, so a document of
-any length passes. A target is written beside its place and renamed, so that a reader sees the old document or the new one.
+The executors write the lines of a document, sorted, as the compressed parts of a text; the driver only copies the parts one after another through a buffer, so a document of
+any length passes, and removes them. A target is written beside its place and renamed, so that a reader sees the old document or the new one.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cartoria.functions.lineage import ensure_checkpoint_dir
+from cartoria.functions.lineage import ensure_checkpoint_dir, shuffles_removed
 
 
 def version_dir(root: str, version: str) -> str:
@@ -31,21 +31,24 @@ def _document(lines: DataFrame, path: str, head: str, tail: str) -> int:
     """Writes ``head``, the column ``line`` in the order of ``_o`` and ``tail``; the number of lines."""
     spark = lines.sparkSession
     parts = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
-    lines.orderBy("_o").select("line").write.text(parts)
+    with shuffles_removed(spark):
+        lines.orderBy("_o").select("line").write.text(parts, compression="gzip")
     target, files = _file(spark, path)
     files.mkdirs(target.getParent())
     beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
     source, shared = _file(spark, parts)
     out = files.create(beside)
     out.write(bytearray(head.encode("utf-8")))
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
     for name in sorted(str(f.getPath()) for f in shared.listStatus(source)):
         if "/part-" in name:
             part, _ = _file(spark, name)
-            stream = shared.open(part)
+            stream = codecs.getCodec(part).createInputStream(shared.open(part))
             spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
             stream.close()
     out.write(bytearray(tail.encode("utf-8")))
     out.close()
+    shared.delete(source, True)
     files.delete(target, False)
     files.rename(beside, target)
     return lines.count()

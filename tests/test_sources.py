@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from cartoria.sources.documents import csv_table, decision_store, geojson, html_pages, json_array, json_path, open_json_array, optional_csv
+from cartoria.sources.documents import csv_table, decision_store, document_chunks, geojson, html_pages, json_array, json_path, open_json_array, optional_csv
 from cartoria.sources.elements import ElementSource, area_query, failed_queries, flattened_tags, matching, named_elements
 from cartoria.sources.sinks import ranked_report, version_dir, write_csv, write_geojson, write_json
 
@@ -21,6 +21,36 @@ def test_json_documents(spark, tmp_path):
     assert "nome" in fields[1] and "nome" not in fields[2]
 
 
+def test_long_documents_are_read_in_chunks(spark, tmp_path):
+    """Elements whatever the layout, their strings and their neighbours hold, however the document is split; no task reads all of it."""
+    names = [None if i % 7 == 0 else f'é{{"[}}],\\\\ "features": [{{{i}}}' * (i % 3) for i in range(200)]
+    features = [{"geometry": {"coordinates": [[i, -i], [i]] if i % 5 == 0 else [i, -i]}, "properties": {"nome": n}} for i, n in enumerate(names)]
+    document = {"a}b": "x}, {", "none": [], "before": [{"nome": "no"}] * 9, "m": {"features": [{"nome": "no"}], "t": "]}"}, "features": features, "empty": {}, "after": [[{"nome": "no"}]] * 9, "last": 1.5}
+    feature = T.StructType([T.StructField("properties", NAME)])
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        for n, layout in enumerate(({"separators": (",", ":"), "ensure_ascii": False}, {"indent": 2})):
+            path = str(tmp_path / f"{n}.json")
+            with open(path, "w", encoding="utf-8") as f:
+                json.dump(document, f, **layout)
+            for size, batch in ((10_000, 3), (1 << 27, 10_000)) if n else ((4_000, 1),):
+                for c, v in zip(kept, (size, 0, batch)):
+                    spark.conf.set(c, v)
+                rows = json_path(spark, path, feature, "features").orderBy("pos").collect()
+                assert [(r["pos"], r["properties"]["nome"]) for r in rows] == list(enumerate(names))
+        assert [r["nome"] for r in json_path(spark, path, NAME, "before").collect()] == ["no"] * 9
+        assert not any(json_path(spark, path, NAME, key).count() for key in ("none", "empty", "m"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 4_000)
+        chunks = document_chunks(spark, path)
+        assert chunks.count() > 3 and chunks.agg(F.max(F.length("body"))).first()[0] < 9_000
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    (tmp_path / "short.json").write_text(json.dumps(document)[:-40])
+    with pytest.raises(ValueError, match="not a whole JSON document"):
+        json_path(spark, str(tmp_path / "short.json"), feature, "features")
+
+
 def test_csv_edge_cases(spark, tmp_path):
     path = tmp_path / "c.csv"
     path.write_bytes('﻿nome,motivo\r\n"a, ""b""","x\ny"\r\ncurta\r\n\r\n'.encode())
